@@ -1,0 +1,60 @@
+"""Positions inside groups that may be too large for one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+SLICE_WIDTH = 100_000
+
+
+def rank_in_group(
+    rows: DataFrame, group: Sequence[str], order_by: str, out: str = "rank",
+    slice_width: int = SLICE_WIDTH,
+) -> DataFrame:
+    """Add the 1-based position of each row within its group.
+
+    ``order_by`` is a whole number, unique within the group.  A group is cut
+    into slices of the number line that each hold at most ``slice_width`` rows.
+    Rows are ranked inside their slice, and the slice's offset (how many rows
+    lie in earlier slices) is added, so no task ever sorts a whole group.
+    """
+    keys = [*group, "_slice"]
+    sliced = rows.withColumn("_slice", F.expr(f"`{order_by}` div {slice_width}"))
+    earlier = (
+        Window.partitionBy(*group)
+        .orderBy("_slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = (
+        sliced.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .withColumn("_offset", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+        .drop("_size")
+    )
+    local = F.row_number().over(Window.partitionBy(*keys).orderBy(order_by))
+    return (
+        sliced.withColumn("_local", local)
+        .join(offsets, keys)
+        .withColumn(out, (F.col("_offset") + F.col("_local")).cast("bigint"))
+        .drop("_slice", "_local", "_offset")
+    )
+
+
+def batch_in_group(
+    rows: DataFrame, group: Sequence[str], order_by: str, size: int,
+    slice_width: int = SLICE_WIDTH,
+) -> DataFrame:
+    """Add the 0-based batch number: consecutive runs of ``size`` rows."""
+    ranked = rank_in_group(rows, group, order_by, "_rank", slice_width)
+    return ranked.withColumn("batch", F.expr(f"(_rank - 1) div {size}")).drop("_rank")
+
+
+def batches_per_group(rows: DataFrame, group: Sequence[str], size: int) -> DataFrame:
+    return (
+        rows.groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("members"))
+        .withColumn("batches", F.expr(f"(members + {size - 1}) div {size}"))
+    )

@@ -165,15 +165,20 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("created"),
         F.when(paid, created).alias("paid_at"),
         F.col("l_orderkey").alias("_orderkey"),
+        F.col("l_linenumber").alias("_linenumber"),
         F.col("l_partkey").alias("_partkey"),
         F.col("l_suppkey").alias("_suppkey"),
     )
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invoices after keep-first, without the customer."""
-    return keep_first(raw_invoices(spark, sf_dir), "invoice_id", INVOICE_ORDER).drop(
-        "_partkey", "_suppkey"
+    """Invoices after keep-first, without the customer.
+
+    The id is made of the two numeric keys, which sort faster.
+    """
+    raw = raw_invoices(spark, sf_dir)
+    return keep_first(raw, ("_orderkey", "_linenumber"), INVOICE_ORDER).drop(
+        "_partkey", "_suppkey", "_linenumber"
     )
 
 
@@ -182,3 +187,180 @@ def with_customer(spark: SparkSession, sf_dir: str, invoice_rows: DataFrame) ->
         F.col("o_orderkey").alias("_orderkey"), _id("cus_", "o_custkey").alias("customer_id")
     )
     return invoice_rows.join(owner, "_orderkey").drop("_orderkey")
+
+
+_DAY = 86_400
+
+
+def _seconds(day):
+    return F.unix_date(day).cast("bigint") * _DAY
+
+
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested customer objects as JSON text.
+
+    By key: the clock is an object, plain text or missing; payment settings or
+    the payment method are missing.
+    """
+    key = F.col("c_custkey")
+    rows = customers(spark, sf_dir).select("customer_id", "email", "name", "description", "delinquent")
+    rows = rows.withColumn("c_custkey", F.substring("customer_id", 5, 20).cast("bigint"))
+    method = F.when(key % 5 != 0, F.concat(F.lit("pm_"), key.cast("string")))
+    common = [
+        F.col("customer_id").alias("id"),
+        "email",
+        "name",
+        "description",
+        (F.lit(9131 * _DAY) + key * 60).alias("created"),
+        F.lit("usd").alias("currency"),
+        "delinquent",
+        F.when(key % 4 != 0, F.struct(method.alias("default_payment_method"))).alias("invoice_settings"),
+    ]
+    clock = F.concat(F.lit("clock_"), (key % 7).cast("string"))
+    as_object = F.to_json(F.struct(*common, F.struct(clock.alias("id")).alias("test_clock")))
+    as_text = F.to_json(F.struct(*common, F.when(key % 3 == 1, clock).alias("test_clock")))
+    return rows.select(F.when(key % 3 == 0, as_object).otherwise(as_text).alias("value"))
+
+
+def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    age = F.length("name").cast("bigint") * _DAY
+    line = F.struct(
+        F.col("product_id").alias("id"),
+        "name",
+        F.concat(F.lit("Plan "), F.lower("name")).alias("description"),
+        "active",
+        (F.lit(9131 * _DAY) + age).alias("created"),
+        (F.lit(9131 * _DAY) + age * 2).alias("updated"),
+    )
+    return products(spark, sf_dir).select(F.to_json(line).alias("value"))
+
+
+def _recurring(interval, count):
+    return F.struct(interval.alias("interval"), count.alias("interval_count"))
+
+
+def price_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prices(spark, sf_dir)
+    key = F.substring("price_id", 7, 20).cast("bigint")
+    recurring = F.when(
+        F.col("recurring_interval").isNotNull(), _recurring(F.col("recurring_interval"), key % 3 + 1)
+    )
+    line = F.struct(
+        F.col("price_id").alias("id"),
+        F.col("product_id").alias("product"),
+        "active",
+        "currency",
+        "unit_amount",
+        recurring.alias("recurring"),
+        "nickname",
+        (F.lit(9131 * _DAY) + key).alias("created"),
+    )
+    return rows.select(F.to_json(line).alias("value"))
+
+
+def subscription_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested subscription objects as JSON text, with every optional part
+    missing or zero for some keys."""
+    price = read(spark, sf_dir, "part").select("p_partkey", *_price_columns())
+    key = F.col("o_orderkey")
+    rows = (
+        _order_facts(read(spark, sf_dir, "orders"))
+        .join(first_items(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(price, F.col("item_partkey") == F.col("p_partkey"), "left")
+    )
+    start, end = _seconds(F.to_date("start_date")), _seconds(F.to_date("canceled_at"))
+    zero = F.lit(0).cast("bigint")
+
+    recurring = F.when(
+        F.col("recurring_interval").isNotNull(),
+        _recurring(F.when(key % 17 != 0, F.col("recurring_interval")), F.lit(1)),
+    )
+    item_price = F.struct(
+        F.col("price_id").alias("id"),
+        F.col("product_id").alias("product"),
+        F.when(key % 13 != 0, F.col("unit_amount")).alias("unit_amount"),
+        recurring.alias("recurring"),
+    )
+    item = F.struct(
+        F.when(key % 11 == 0, zero).otherwise(F.col("item_quantity")).alias("quantity"),
+        F.when(key % 7 == 1, zero).when(key % 7 != 0, start + _DAY).alias("current_period_start"),
+        F.when(key % 5 != 0, start + 31 * _DAY).alias("current_period_end"),
+        F.when(key % 31 != 0, item_price).alias("price"),
+    )
+    has_item = F.col("price_id").isNotNull() & (key % 29 != 0)
+    line = F.struct(
+        F.col("subscription_id").alias("id"),
+        F.col("customer_id").alias("customer"),
+        "status",
+        F.when(key % 19 == 1, zero).when(key % 19 != 0, start).alias("start_date"),
+        F.when(key % 23 != 0, start).alias("created"),
+        F.when(F.col("status") == "canceled", end).alias("ended_at"),
+        end.alias("canceled_at"),
+        F.when(key % 2 == 1, F.col("cancel_at_period_end")).alias("cancel_at_period_end"),
+        "collection_method",
+        F.when(key % 9 == 1, "eur").when(key % 9 > 1, "usd").alias("currency"),
+        F.when(key % 3 != 0, start + 3600).alias("billing_cycle_anchor"),
+        F.when(has_item, F.struct(F.array(item).alias("data"))).alias("items"),
+    )
+    return rows.select(F.to_json(line).alias("value"))
+
+
+def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested invoice objects as JSON text, repeated ids included."""
+    rows = with_customer(spark, sf_dir, raw_invoices(spark, sf_dir))
+    part = F.col("_partkey")
+    created = _seconds(F.to_date("created"))
+    zero = F.lit(0).cast("bigint")
+    paid_at = _seconds(F.to_date("paid_at"))
+    line = F.struct(
+        F.col("invoice_id").alias("id"),
+        F.concat(F.lit("N-"), F.substring("invoice_id", 4, 40)).alias("number"),
+        F.col("customer_id").alias("customer"),
+        F.col("subscription_id").alias("subscription"),
+        "status",
+        F.col("total").alias("amount_due"),
+        "amount_paid",
+        "amount_remaining",
+        F.col("total").alias("subtotal"),
+        "total",
+        F.lit("usd").alias("currency"),
+        created.alias("created"),
+        F.when(part % 3 == 0, zero).when(part % 3 == 1, created + 7 * _DAY).alias("due_date"),
+        created.alias("period_start"),
+        F.when(part % 2 == 0, created + 30 * _DAY).alias("period_end"),
+        F.when(part % 5 != 0, F.struct(paid_at.alias("paid_at"))).alias("status_transitions"),
+        F.lit("charge_automatically").alias("collection_method"),
+        F.concat(F.lit("https://pay.invalid/"), "invoice_id").alias("hosted_invoice_url"),
+        F.concat(F.lit("https://pay.invalid/"), "invoice_id", F.lit(".pdf")).alias("invoice_pdf"),
+    )
+    return rows.select(
+        F.to_json(line).alias("value"),
+        *[F.col(c).alias(f"order_{n}") for n, c in enumerate(INVOICE_ORDER)],
+    )
+
+
+LINES = {
+    "customers": customer_lines,
+    "products": product_lines,
+    "prices": price_lines,
+    "subscriptions": subscription_lines,
+    "invoices": invoice_lines,
+}
+
+
+def write_landing(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
+    """Landing files of all entities; returns their paths.
+
+    Invoices are range-sorted, so copies of one id follow each other in
+    keep-first order, within a file or from one file to the next.
+    """
+    paths = {}
+    for entity, lines in LINES.items():
+        frame = lines(spark, sf_dir)
+        order = [c for c in frame.columns if c.startswith("order_")]
+        if order:
+            frame = frame.withColumn("key", F.get_json_object("value", "$.id"))
+            frame = frame.repartitionByRange("key", *order).sortWithinPartitions("key", *order)
+        paths[entity] = f"{folder}/{entity}"
+        frame.select("value").write.mode("overwrite").text(paths[entity])
+    return paths
