@@ -1,0 +1,63 @@
+"""Row-by-row definitions of the activity reports, for small inputs."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+
+def next_month(day: dt.date) -> dt.date:
+    return dt.date(day.year + day.month // 12, day.month % 12 + 1, 1)
+
+
+def months(first: dt.date, last: dt.date) -> list[dt.date]:
+    month, out = first.replace(day=1), []
+    while month <= last.replace(day=1):
+        out.append(month)
+        month = next_month(month)
+    return out
+
+
+def money(rows) -> float:
+    return float(sum((Decimal(repr(r["mrr"])) for r in rows), Decimal(0)))
+
+
+def monthly(subs: list[dict], as_of: dt.date) -> list[tuple]:
+    """(month, total, new, churned, active, new customers, churned customers, previous total)."""
+    starts = [s["start"] for s in subs if s["start"]]
+    out, previous = [], None
+    for m in months(min(starts), as_of) if starts else []:
+        n = next_month(m)
+        active = [
+            s for s in subs
+            if s["start"] and s["start"] <= n and (s["cancel"] is None or s["cancel"] >= n)
+        ]
+        new = [s for s in subs if s["start"] and m <= s["start"] < n]
+        churned = [s for s in subs if s["cancel"] and m <= s["cancel"] < n]
+        counts = [len({s["customer"] for s in part}) for part in (active, new, churned)]
+        if not any(counts):
+            continue
+        total = money(active)
+        out.append((m, total, money(new), money(churned), *counts, previous))
+        previous = total
+    return out
+
+
+def cohorts(subs: list[dict], as_of: dt.date) -> list[tuple]:
+    """(cohort month, period, customers, active customers)."""
+    first: dict[str, dt.date] = {}
+    for s in subs:
+        if s["start"]:
+            first[s["customer"]] = min(first.get(s["customer"], s["start"]), s["start"])
+    cohort = {c: d.replace(day=1) for c, d in first.items()}
+    out = []
+    for start in sorted(set(cohort.values())):
+        members = [c for c, d in cohort.items() if d == start]
+        for period, m in enumerate(months(start, as_of)[:13]):
+            n = next_month(m)
+            active = {
+                s["customer"] for s in subs
+                if s["start"] and s["start"] <= n and (s["cancel"] is None or s["cancel"] >= m)
+            }
+            out.append((start, period, len(members), len(active & set(members))))
+    return out
