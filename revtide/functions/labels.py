@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 
 def status_label(status: Column) -> Column:
-    """Upper-case first letter, first underscore as a space."""
-    head, sep = F.substring_index(status, "_", 1), F.instr(status, "_") > 0
-    spaced = F.when(sep, F.concat(head, F.lit(" "), F.substring(status, F.length(head) + 2, F.length(status))))
-    text = F.coalesce(spaced, status)
-    return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, F.lit(2), F.length(text)))
+    """Upper-case first letter; the first underscore after it as a space."""
+    rest = F.substring(status, F.lit(2), F.length(status))
+    spaced = F.regexp_replace(rest, "^([^_]*)_", "$1 ")
+    return F.concat(F.upper(F.substring(status, 1, 1)), spaced)
 
 
 def dollars(value: Column) -> Column:

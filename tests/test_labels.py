@@ -32,7 +32,7 @@ def test_dollars(spark):
 def test_status_label_replaces_the_first_underscore(spark):
     values = ["past_due", "active", "incomplete_expired_x", "a", "_b"]
     assert shown(spark, labels.status_label, values, "string") == [
-        "Past due", "Active", "Incomplete expired_x", "A", " b",
+        "Past due", "Active", "Incomplete expired_x", "A", "_b",
     ]
 
 
