@@ -27,10 +27,6 @@ def month_of_number(number: Column) -> Column:
     return F.add_months(F.make_date(F.lit(1), F.lit(1), F.lit(1)), number - 12)
 
 
-def months_between_starts(later: Column, earlier: Column) -> Column:
-    return (month_number(later) - month_number(earlier)).cast("int")
-
-
 def month_key(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 

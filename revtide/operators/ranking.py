@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,12 +37,12 @@ def rank_in_group(
         .drop("_size")
     )
     local = F.row_number().over(Window.partitionBy(*keys).orderBy(order_by))
-    return (
-        sliced.withColumn("_local", local)
-        .join(offsets, keys)
-        .withColumn(out, (F.col("_offset") + F.col("_local")).cast("bigint"))
-        .drop("_slice", "_local", "_offset")
-    )
+    ranked = sliced.withColumn("_local", local)
+    # A group value may be NULL, so the keys are compared null-safe.
+    offsets = offsets.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    position = (F.col("_offset") + F.col("_local")).cast("bigint")
+    return ranked.join(offsets, same).select(*rows.columns, position.alias(out))
 
 
 def batch_in_group(
