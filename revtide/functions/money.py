@@ -7,18 +7,24 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Row amounts are doubles.  Summing doubles depends on the order in which
-# partitions arrive, so sums run over this fixed-point type and only the total
-# goes back to double.
-EXACT = "decimal(18,6)"
 
+def exact_sum_sql(amount: str, copies: str = "1L") -> str:
+    """SQL for the sum of ``amount * copies`` as DECIMAL, exact to a millionth.
 
-def exact(amount: Column | str) -> Column:
-    return F.col(amount).cast(EXACT) if isinstance(amount, str) else amount.cast(EXACT)
+    Row amounts are doubles.  Summing doubles depends on the order in which
+    partitions arrive; summing decimals per row is slow.  So whole units and
+    millionths are summed as two longs and put together once per group.
+    """
+    whole = f"floor({amount})"
+    millionths = f"CAST(rint(({amount} - {whole}) * 1000000D) AS BIGINT)"
+    return (
+        f"(CAST(sum({whole} * {copies}) AS DECIMAL(20,0)) + "
+        f"CAST(sum({millionths} * {copies}) AS DECIMAL(20,0)) * 0.000001BD)"
+    )
 
 
-def exact_sum(amount: Column | str) -> Column:
-    return F.sum(exact(amount)).cast("double")
+def exact_sum(amount: str) -> Column:
+    return F.expr(f"CAST({exact_sum_sql(amount)} AS DOUBLE)")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -23,7 +23,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtide.functions.money import EXACT
+from revtide.functions.money import exact_sum_sql
 from revtide.functions.months import month_number_of
 
 WORD_BITS = 64
@@ -76,15 +76,20 @@ def bit_range_sql(first: str, last: str) -> str:
 
 
 def customer_bitmaps(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
-    """Per customer and 64-month word: months active, started in, canceled in."""
+    """Per customer and 64-month word: months active, started in, canceled in.
+
+    Words are laid out backwards from the as-of month, so the number of words
+    a customer needs depends on its age only.  ``base`` is a word's first
+    month.
+    """
+    horizon = month_number_of(as_of)
     facts = month_facts(subscriptions, as_of, "customer_id").filter("customer_id IS NOT NULL")
-    earliest = f"least(first_month, start_month, cancel_month) div {WORD_BITS}"
-    latest = f"greatest(last_month, start_month, cancel_month) div {WORD_BITS}"
-    words = facts.selectExpr(
-        "*",
-        # Both ends are NULL together; NULL explodes to no row.
-        f"explode(sequence({earliest}, {latest})) AS word",
-    ).selectExpr("*", f"CAST(word * {WORD_BITS} AS INT) AS base")
+    # All NULL when nothing happened by the horizon; NULL explodes to no row.
+    newest = f"({horizon} - greatest(last_month, start_month, cancel_month)) div {WORD_BITS}"
+    oldest = f"({horizon} - least(first_month, start_month, cancel_month)) div {WORD_BITS}"
+    words = facts.selectExpr("*", f"explode(sequence({newest}, {oldest})) AS word").selectExpr(
+        "*", f"CAST({horizon + 1} - {WORD_BITS} * (word + 1) AS INT) AS base"
+    )
 
     def within(first: str, last: str, name: str) -> str:
         return f"{bit_range_sql(f'({first} - base)', f'({last} - base)')} AS {name}"
@@ -134,11 +139,10 @@ def customers_per_month(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
 def amount_steps(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
     """Changes of the running total, new and churned amounts, as addends per
     month number."""
-    amounts = subscriptions.withColumn("amount", F.col("mrr_amount").cast(EXACT))
     runs = (
-        month_facts(amounts, as_of, "amount")
+        month_facts(subscriptions, as_of, "mrr_amount")
         .groupBy("first_month", "last_month", "start_month", "cancel_month")
-        .agg(F.expr("CAST(sum(amount) AS DECIMAL(38,6)) AS amount"))
+        .agg(F.expr(f"CAST({exact_sum_sql('mrr_amount')} AS DECIMAL(38,6)) AS amount"))
         .withColumn("none", F.expr("CAST(0 AS DECIMAL(38,6))"))
         .withColumn("less", F.expr("CAST(-amount AS DECIMAL(38,6))"))
     )

@@ -8,7 +8,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtide.functions.money import exact_sum
 from revtide.functions.months import BILLING_PERIOD_DAYS
 
 # Customers acquired per month of the six-month schedule.
@@ -228,7 +227,7 @@ def plan_distribution(ledger: DataFrame) -> DataFrame:
     return (
         ledger.filter(F.col("status") == "active")
         .groupBy("plan")
-        .agg(F.count(F.lit(1)).alias("customers"), exact_sum("plan_price").alias("mrr"))
+        .agg(F.count(F.lit(1)).alias("customers"), F.sum("plan_price").cast("double").alias("mrr"))
         .orderBy("plan")
     )
 

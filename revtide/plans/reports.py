@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.functions.money import exact, exact_sum, ratio
+from revtide.functions.money import exact_sum, exact_sum_sql, ratio
 from revtide.functions.months import month_start
 
 PAYING = ("active", "past_due")
@@ -99,7 +99,7 @@ def _payment_columns(totals: DataFrame) -> DataFrame:
 
 def _paying(subscriptions: DataFrame) -> DataFrame:
     return subscriptions.filter(F.col("status").isin(*PAYING)).select(
-        "subscription_id", "customer_id", "collection_method", exact("mrr_amount").alias("amount")
+        "subscription_id", "customer_id", "collection_method", "mrr_amount"
     )
 
 
@@ -145,10 +145,10 @@ def _revenue_by_method(
 ) -> DataFrame:
     paying = _paying(subscriptions)
     joined = paying.join(_invoices_per_subscription(invoices), "subscription_id", "left")
-    copies = F.coalesce("invoices", F.lit(1)) if repeated else F.lit(1)
+    copies = "coalesce(invoices, 1L)" if repeated else "1L"
     by_method = joined.groupBy("collection_method").agg(
         F.count_distinct("customer_id").alias("customers"),
-        F.sum((F.col("amount") * copies.cast("decimal(18,0)")).cast("decimal(38,6)")).alias("total_mrr"),
+        F.expr(f"CAST({exact_sum_sql('mrr_amount', copies)} AS DECIMAL(38,6)) AS total_mrr"),
         F.coalesce(F.sum("named_invoices"), F.lit(0)).alias("total_invoices"),
         F.coalesce(F.sum("paid_invoices"), F.lit(0)).alias("paid_invoices"),
     )
