@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -18,6 +19,11 @@ RUNTIME_SETTINGS = {
 }
 
 
+@functools.cache
+def _local_base(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"revtide-{application_id}-")
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
@@ -34,6 +40,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="revtide-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@ import datetime as dt
 import glob
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from revtide import schemas
@@ -82,3 +83,20 @@ def test_scratch_dir_uses_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(base) and first != second
+
+
+class _Unset:
+    """A session without the folder setting."""
+
+    def __init__(self, master):
+        self.sparkContext = self
+        self.master, self.applicationId, self.conf = master, "app", self
+
+    def get(self, key, default):
+        return default
+
+
+def test_scratch_dir_without_the_setting():
+    assert scratch_dir(_Unset("local[4]"), "x") != scratch_dir(_Unset("local[4]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(_Unset("spark://head:7077"), "x")
