@@ -137,49 +137,51 @@ def customers_per_month(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def amount_steps(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
-    """Changes of the running total, new and churned amounts, as addends per
-    month number."""
+    """Changes of the running total, new and churned amounts and the number of
+    starts, as addends per month number."""
     runs = (
         month_facts(subscriptions, as_of, "mrr_amount")
         .groupBy("first_month", "last_month", "start_month", "cancel_month")
-        .agg(F.expr(f"CAST({exact_sum_sql('mrr_amount')} AS DECIMAL(38,6)) AS amount"))
+        .agg(
+            F.expr(f"CAST({exact_sum_sql('mrr_amount')} AS DECIMAL(38,6)) AS amount"),
+            F.count(F.lit(1)).alias("rows"),
+        )
         .withColumn("none", F.expr("CAST(0 AS DECIMAL(38,6))"))
         .withColumn("less", F.expr("CAST(-amount AS DECIMAL(38,6))"))
     )
     return runs.selectExpr(
         """stack(4,
-             first_month, amount, none, none,
-             last_month + 1, less, none, none,
-             start_month, none, amount, none,
-             cancel_month, none, none, amount) AS (month_no, step, new_mrr, churned_mrr)"""
+             first_month, amount, none, none, 0L,
+             last_month + 1, less, none, none, 0L,
+             start_month, none, amount, none, rows,
+             cancel_month, none, none, amount, 0L) AS (month_no, step, new_mrr, churned_mrr, starts)"""
     ).filter("month_no IS NOT NULL")
 
 
-def month_ledger(subscriptions: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame:
-    """One row per calendar month with exact amounts and distinct counts.
+def month_ledger(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
+    """Exact amounts and distinct counts per month that had any customer active,
+    new or churned, from the first start month on.
 
-    The pieces are stacked and summed per month instead of joined.  From here
-    on there is one row per month, so the ordered window over all of them fits
-    one task at any input size.
+    The two pieces are stacked and summed per month instead of joined.  A month
+    in neither piece had no activity at all, so no calendar is needed to find
+    it.  From the sums on there is one row per month: the ordered window over
+    all of them fits one task at any input size.
     """
-    no_amounts = [f"CAST(0 AS DECIMAL(38,6)) AS {c}" for c in AMOUNTS]
-    no_counts = [f"0L AS {c}" for c in COUNTS]
-    stacked = (
-        calendar.selectExpr("month_no", *no_amounts, *no_counts, "1 AS in_calendar")
-        .unionAll(
-            amount_steps(subscriptions, as_of).selectExpr(
-                "month_no", *AMOUNTS, *no_counts, "0 AS in_calendar"
-            )
-        )
-        .unionAll(
-            customers_per_month(subscriptions, as_of).selectExpr(
-                "month_no", *no_amounts, *COUNTS, "0 AS in_calendar"
-            )
-        )
+    amounts = amount_steps(subscriptions, as_of).selectExpr(
+        "month_no", *AMOUNTS, "starts", *[f"0L AS {c}" for c in COUNTS]
     )
-    monthly = stacked.groupBy("month_no").agg(
-        *[F.expr(f"sum({c}) AS {c}") for c in (*AMOUNTS, *COUNTS)],
-        F.expr("max(in_calendar) AS in_calendar"),
+    customers = customers_per_month(subscriptions, as_of).selectExpr(
+        "month_no", *[f"CAST(0 AS DECIMAL(38,6)) AS {c}" for c in AMOUNTS], "0L AS starts", *COUNTS
+    )
+    monthly = (
+        amounts.unionAll(customers)
+        .groupBy("month_no")
+        .agg(*[F.expr(f"sum({c}) AS {c}") for c in (*AMOUNTS, "starts", *COUNTS)])
     )
     upto = Window.orderBy("month_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return monthly.withColumn("total_mrr", F.sum("step").over(upto)).filter("in_calendar = 1")
+    return (
+        monthly.withColumn("total_mrr", F.sum("step").over(upto))
+        .withColumn("started_by_now", F.sum("starts").over(upto))
+        .filter("started_by_now > 0")
+        .filter("active_customers > 0 OR new_customers > 0 OR churned_customers > 0")
+    )

@@ -27,9 +27,8 @@ def monthly_metrics(
     Empty months are dropped before the previous month is looked up.  The
     churn rate is a fraction of the same month's active customers.
     """
-    ledger = month_ledger(subscriptions, month_calendar(subscriptions, as_of), as_of)
     rows = (
-        ledger.filter("active_customers > 0 OR new_customers > 0 OR churned_customers > 0")
+        month_ledger(subscriptions, as_of)
         .withColumn("month_start_date", month_of_number(F.col("month_no")))
         .selectExpr(
             "month_start_date",
