@@ -45,6 +45,21 @@ BOUNDARIES = {
 AS_OF = D(2020, 7, 31)
 
 
+def block_borders():
+    """Customers whose first starts walk over several bitmap blocks, with later
+    runs inside, at the end of and after their first year."""
+    subs = []
+    for i in range(160):
+        year, month = 2006 + i // 12, i % 12 + 1
+        first = D(year, month, 1 + i % 3)
+        subs.append(sub(f"c{i}", first, first + dt.timedelta(20 + i % 50)))
+        for gap in (300, 365, 380, 420):
+            if (i + gap) % 3:
+                later = first + dt.timedelta(gap)
+                subs.append(sub(f"c{i}", later, later + dt.timedelta(15)))
+    return subs
+
+
 def check(spark, subs, as_of):
     rows = monthly_metrics(frame(spark, subs), as_of).collect()
     got = [
@@ -88,6 +103,10 @@ def random_ledger(seed):
     return subs, day()
 
 
+def test_block_borders(spark):
+    check(spark, block_borders(), AS_OF)
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_random_ledgers(spark, seed):
     check(spark, *random_ledger(seed))
