@@ -57,117 +57,96 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _price_columns() -> list:
-    by_key = F.col("p_partkey") % 5
-    interval = (
-        F.when(F.col("p_size") <= 2, None)
-        .when(by_key <= 1, "month")
-        .when(by_key == 2, "year")
-        .when(by_key == 3, "week")
-        .otherwise("day")
-    )
-    return [
-        _id("price_", "p_partkey").alias("price_id"),
-        F.concat(F.lit("prod_"), F.lower("p_type")).alias("product_id"),
-        F.round(F.col("p_retailprice") * 100).cast("bigint").alias("unit_amount"),
-        interval.alias("recurring_interval"),
-    ]
+# SQL text, shared by everything that looks at a part as a price.
+_PRICE_COLUMNS = (
+    "concat('price_', p_partkey) AS price_id",
+    "concat('prod_', lower(p_type)) AS product_id",
+    "CAST(round(p_retailprice * 100) AS BIGINT) AS unit_amount",
+    "CASE WHEN p_size <= 2 THEN NULL WHEN p_partkey % 5 <= 1 THEN 'month' "
+    "WHEN p_partkey % 5 = 2 THEN 'year' WHEN p_partkey % 5 = 3 THEN 'week' "
+    "ELSE 'day' END AS recurring_interval",
+)
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").select(
-        *_price_columns(),
-        F.lit(True).alias("active"),
-        F.lit("usd").alias("currency"),
-        F.col("p_brand").alias("nickname"),
+    return read(spark, sf_dir, "part").selectExpr(
+        *_PRICE_COLUMNS, "TRUE AS active", "'usd' AS currency", "p_brand AS nickname"
     )
 
 
 def first_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First item per order; the minimum is also taken before the shuffle."""
-    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
-    firsts = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.min(item).alias("item"))
-    return firsts.select(
+    item = F.expr(
+        "min(struct(l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity))"
+    )
+    firsts = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(item.alias("item"))
+    return firsts.selectExpr(
         "l_orderkey",
-        F.col("item.l_partkey").alias("item_partkey"),
-        F.col("item.l_quantity").cast("bigint").alias("item_quantity"),
+        "item.l_partkey AS item_partkey",
+        "CAST(item.l_quantity AS BIGINT) AS item_quantity",
     )
 
 
 def _order_facts(orders: DataFrame) -> DataFrame:
-    start = F.col("o_orderdate").cast("date")
-    early = (F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 50 == 0)
-    lifetime = F.when(F.col("o_orderstatus") == "F", (F.col("o_orderkey") % 400 + 1).cast("int")).when(
-        early, 30
-    )
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "canceled")
-        .when(F.col("o_orderstatus") == "O", "active")
-        .when(F.col("o_orderstatus") == "P", "past_due")
-    )
-    invoiced = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    return orders.select(
+    early = "o_orderstatus = 'O' AND o_orderkey % 50 = 0"
+    start = "CAST(o_orderdate AS DATE)"
+    return orders.selectExpr(
         "o_orderkey",
-        _id("sub_", "o_orderkey").alias("subscription_id"),
-        _id("cus_", "o_custkey").alias("customer_id"),
-        status.alias("status"),
-        start.cast("timestamp").alias("start_date"),
-        F.date_add(start, lifetime).cast("timestamp").alias("canceled_at"),
-        early.alias("cancel_at_period_end"),
-        F.when(invoiced, "send_invoice").otherwise("charge_automatically").alias("collection_method"),
+        "concat('sub_', o_orderkey) AS subscription_id",
+        "concat('cus_', o_custkey) AS customer_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'canceled' WHEN 'O' THEN 'active' "
+        "WHEN 'P' THEN 'past_due' END AS status",
+        f"CAST({start} AS TIMESTAMP) AS start_date",
+        f"CAST(date_add({start}, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 400 + 1 AS INT) "
+        f"WHEN {early} THEN 30 END) AS TIMESTAMP) AS canceled_at",
+        f"{early} AS cancel_at_period_end",
+        "IF(o_orderpriority IN ('1-URGENT', '2-HIGH'), 'send_invoice', 'charge_automatically') "
+        "AS collection_method",
     )
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both lookups are on unique keys the optimizer knows about, so a plan
     that needs no price or quantity drops them."""
-    price = (
-        read(spark, sf_dir, "part")
-        .dropDuplicates(["p_partkey"])
-        .select("p_partkey", *_price_columns())
-    )
+    price = read(spark, sf_dir, "part").dropDuplicates(["p_partkey"])
     orders = _order_facts(read(spark, sf_dir, "orders"))
     joined = orders.join(
-        first_items(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    ).join(price, F.col("item_partkey") == F.col("p_partkey"), "left")
-    quantity = F.coalesce("item_quantity", F.lit(1).cast("bigint"))
-    amount = monthly_amount(F.col("unit_amount"), quantity, F.col("recurring_interval"))
-    return joined.select(
-        *[c for c in orders.columns if c != "o_orderkey"],
-        F.col("start_date").alias("created"),
-        "price_id",
-        "product_id",
-        "unit_amount",
-        quantity.alias("quantity"),
-        amount.alias("mrr_amount"),
+        first_items(spark, sf_dir), F.expr("o_orderkey = l_orderkey"), "left"
+    ).join(price.selectExpr("p_partkey", *_PRICE_COLUMNS), F.expr("item_partkey = p_partkey"), "left")
+    amount = monthly_amount(F.col("unit_amount"), F.col("quantity"), F.col("recurring_interval"))
+    return (
+        joined.withColumn("quantity", F.expr("coalesce(item_quantity, 1L)"))
+        .select(
+            *[c for c in orders.columns if c != "o_orderkey"],
+            F.col("start_date").alias("created"),
+            "price_id",
+            "product_id",
+            "unit_amount",
+            "quantity",
+            amount.alias("mrr_amount"),
+        )
     )
 
 
 def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoices as delivered, with repeated ids."""
-    total = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    paid = F.col("l_linestatus") == "F"
-    status = (
-        F.when(paid, "paid")
-        .when(F.col("l_returnflag") == "R", "uncollectible")
-        .when(F.col("l_returnflag") == "A", "open")
-        .when(F.col("l_returnflag") == "N", "void")
-    )
-    amount_paid = F.when(paid, total).otherwise(F.lit(0).cast("bigint"))
-    created = F.col("l_shipdate").cast("timestamp")
-    return read(spark, sf_dir, "lineitem").select(
-        _id("in_", "l_orderkey", "l_linenumber").alias("invoice_id"),
-        F.when(F.col("l_linenumber") != 7, _id("sub_", "l_orderkey")).alias("subscription_id"),
-        status.alias("status"),
-        total.alias("total"),
-        amount_paid.alias("amount_paid"),
-        (total - amount_paid).alias("amount_remaining"),
-        created.alias("created"),
-        F.when(paid, created).alias("paid_at"),
-        F.col("l_orderkey").alias("_orderkey"),
-        F.col("l_linenumber").alias("_linenumber"),
-        F.col("l_partkey").alias("_partkey"),
-        F.col("l_suppkey").alias("_suppkey"),
+    total = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+    paid = "l_linestatus = 'F'"
+    created = "CAST(l_shipdate AS TIMESTAMP)"
+    return read(spark, sf_dir, "lineitem").selectExpr(
+        "concat('in_', l_orderkey, '_', l_linenumber) AS invoice_id",
+        "IF(l_linenumber <> 7, concat('sub_', l_orderkey), NULL) AS subscription_id",
+        f"CASE WHEN {paid} THEN 'paid' WHEN l_returnflag = 'R' THEN 'uncollectible' "
+        "WHEN l_returnflag = 'A' THEN 'open' WHEN l_returnflag = 'N' THEN 'void' END AS status",
+        f"{total} AS total",
+        f"IF({paid}, {total}, 0L) AS amount_paid",
+        f"IF({paid}, 0L, {total}) AS amount_remaining",
+        f"{created} AS created",
+        f"IF({paid}, {created}, NULL) AS paid_at",
+        "l_orderkey AS _orderkey",
+        "l_linenumber AS _linenumber",
+        "l_partkey AS _partkey",
+        "l_suppkey AS _suppkey",
     )
 
 
@@ -261,7 +240,7 @@ def price_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def subscription_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested subscription objects as JSON text, with every optional part
     missing or zero for some keys."""
-    price = read(spark, sf_dir, "part").select("p_partkey", *_price_columns())
+    price = read(spark, sf_dir, "part").selectExpr("p_partkey", *_PRICE_COLUMNS)
     key = F.col("o_orderkey")
     rows = (
         _order_facts(read(spark, sf_dir, "orders"))
