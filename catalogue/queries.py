@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from revtide import schemas, session
 from revtide import testbed as tb
 from revtide.functions.billing import monthly_amount
+from revtide.functions.months import utc
 from revtide.operators import checks, ledger, ranking
 from revtide.operators.activity import customers_per_month
 from revtide.operators.dedup import keep_first
@@ -243,7 +244,7 @@ def created_since(spark, sf):
 def required_violations(spark, sf):
     gaps = tb.subscriptions(spark, sf).withColumn("mrr_amount", F.nullif("mrr_amount", F.lit(0.0)))
     rows = gaps.withColumn("customer_id", F.when(F.col("price_id").isNotNull(), F.col("customer_id")))
-    stamped = rows.withColumn("extracted_at", F.lit(EXTRACTED_AT))
+    stamped = rows.withColumn("extracted_at", utc(EXTRACTED_AT))
     return checks.required_violations(stamped, schemas.SUBSCRIPTIONS, "subscriptions")
 
 

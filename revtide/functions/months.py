@@ -48,5 +48,11 @@ def month_calendar(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
     return first.select(F.explode(numbers).alias("month_no"))
 
 
+def utc(moment: dt.datetime) -> Column:
+    """Timestamp literal; a datetime without zone is taken as UTC, whatever the
+    zone of the driver's machine."""
+    return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=dt.UTC))
+
+
 def calculation_stamp(calculated_at: dt.datetime | None) -> Column:
-    return F.current_timestamp() if calculated_at is None else F.lit(calculated_at)
+    return F.current_timestamp() if calculated_at is None else utc(calculated_at)

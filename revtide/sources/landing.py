@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from revtide import schemas
 from revtide.functions.billing import epoch_or_null, first_element, monthly_amount, or_default
+from revtide.functions.months import utc
 
 ARRIVAL = "_arrival"
 
@@ -36,7 +37,7 @@ def parse_landing(lines: DataFrame, entity: str, text_column: str = "value") ->
 
 
 def _stamp(extracted_at: dt.datetime | Column) -> Column:
-    return extracted_at if isinstance(extracted_at, Column) else F.lit(extracted_at)
+    return extracted_at if isinstance(extracted_at, Column) else utc(extracted_at)
 
 
 def _carried(raw: DataFrame) -> list[str]:

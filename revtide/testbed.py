@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revtide.functions.billing import monthly_amount
+from revtide.functions.months import utc
 from revtide.operators.dedup import keep_first
 
 AS_OF = dt.date(2001, 12, 31)
@@ -42,7 +43,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         mail.alias("email"),
         F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("description"),
-        F.lit(_EPOCH).alias("created"),
+        utc(_EPOCH).alias("created"),
         F.lit("usd").alias("currency"),
         (F.col("c_acctbal") < 1000).alias("delinquent"),
     )

@@ -149,3 +149,23 @@ def test_hot_customer_collapses_before_the_shuffle(spark):
     assert per_customer[0]["count"] == 1
     metrics = monthly_metrics(wide, AS_OF).collect()
     assert metrics[-1].active_customers == 301
+
+
+def test_stamps_are_utc_on_any_machine(spark):
+    from revtide.functions.months import utc
+
+    (row,) = spark.range(1).select(utc(dt.datetime(2020, 1, 1)).cast("bigint").alias("x")).collect()
+    assert row.x == 1577836800
+    # The same instant when the driver's own zone is another one.
+    import os
+    import time
+
+    before = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        (row,) = spark.range(1).select(utc(dt.datetime(2020, 1, 1)).cast("bigint").alias("x")).collect()
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+    assert row.x == 1577836800
