@@ -35,6 +35,16 @@ def utf8(column: str) -> Column:
     return F.col(column).cast("string").cast("binary")
 
 
+def row_hash(rows: DataFrame, seed: int = 0) -> Column:
+    """Hash of all columns of a row; rows alike in everything have the same."""
+    values = []
+    for field in rows.schema.fields:
+        value = F.col(f"`{field.name}`")
+        hashable = not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
+        values.append(value if hashable else F.to_json(F.struct(value)))
+    return F.xxhash64(F.lit(seed), *values)
+
+
 def table(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,0 +1,138 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import awkward, documents, words
+
+from revtide.llm import simhash
+from revtide.llm.components import connected_components
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def slow_fingerprint(text):
+    found = words((text or "").translate(LOWER))
+    if not found:
+        return 0
+    shingles = [" ".join(found)] if len(found) < 3 else [" ".join(found[i : i + 3]) for i in range(len(found) - 2)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_groups(values, radius=3):
+    """Smallest member reachable, for each distinct value."""
+    values = sorted(set(values))
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if (a ^ b).bit_count() <= radius:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {v: find(v) for v in values}
+
+
+@pytest.mark.parametrize("text", [None, "", "  ", "A b", "Ab cD eF gh", "É é x \x0b y", "r " * 5000])
+def test_fingerprint(text):
+    assert simhash.fingerprint(None if text is None else text.encode()) == slow_fingerprint(text)
+
+
+def clustered(n, seed):
+    """Fingerprints at random, tight groups, chains and hot partition values."""
+    rng = random.Random(seed)
+    out = [rng.getrandbits(64) for _ in range(n)]
+    centre = rng.getrandbits(64)
+    for _ in range(n):
+        out.append(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))))
+    chain = rng.getrandbits(64)
+    for _ in range(20):
+        chain ^= sum(1 << b for b in rng.sample(range(64), 3))
+        out.append(chain)
+    base = rng.getrandbits(64)
+    out += [(base & 0xFFFFFFFF) | rng.getrandbits(32) << 32 for _ in range(n)]
+    return [0, *out]
+
+
+@pytest.mark.parametrize("block_rows", [1 << 15, 50])
+@pytest.mark.parametrize("parts", [None, 2, 3])
+def test_links_connect_all_that_are_near(spark, monkeypatch, parts, block_rows):
+    if parts:
+        monkeypatch.setattr(simhash, "partition_count", lambda rows, radius=3: parts)
+    values = clustered(150, 7)
+    signed = [v - (1 << 64) if v >> 63 else v for v in set(values)]
+    frame = spark.createDataFrame([(v,) for v in signed], "fp long")
+    links = [(a % 2**64, b % 2**64) for a, b in simhash.near_links(frame, 3, block_rows).collect()]
+    assert all((a ^ b).bit_count() <= 3 for a, b in links)
+    expected = slow_groups(values)
+    root = {v: v for v in expected}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    assert {v: find(v) for v in expected} == expected
+
+
+def test_thresholds_have_the_right_sum_and_spare_hot_values(spark):
+    values = np.array(sorted(set(clustered(3000, 3))), np.uint64)
+    frame = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    plan = simhash.search_plan(frame)
+    chosen = simhash.thresholds(values, plan)
+    assert (chosen.sum(axis=1) == 3 - len(plan.groups) + 1).all()
+    assert (chosen == -1).any()
+    assert sorted(b for g in plan.groups for b in g) == list(range(64))
+
+
+def test_counts_within_radius():
+    counts = np.random.default_rng(1).integers(0, 9, 256).astype(float)
+    within = simhash._within(counts, 8, 3)
+    for t in range(4):
+        near = [sum(counts[w] for w in range(256) if (v ^ w).bit_count() <= t) for v in range(256)]
+        assert np.allclose(within[t], near)
+
+
+def test_components(spark):
+    edges = [(1, 2), (2, 3), (3, 1), (9, 8), (8, 7), (7, 6), (5, 5), (None, 4), (30, 20), (2, 1)]
+    edges += [(100 + i, 101 + i) for i in range(40)] + [(1000 + i, 999) for i in range(50)]
+    got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert {got[n] for n in (1, 2, 3)} == {1} and {got[n] for n in (6, 7, 8, 9)} == {6}
+    assert all(got[100 + i] == 100 for i in range(41)) and all(got[1000 + i] == 999 for i in range(50))
+    assert 5 not in got and 4 not in got
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_duplicates(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randint(0, 500)}" for _ in range(400)]
+    rows = [(10, " ".join(base)), (3, " ".join(base).upper().lower()), (11, " ".join([*base[:-1], "other"])), (4, "alone here now")]
+    rows += [(20, None), (21, ""), (22, "\n")]
+    got = {r.doc_id: r for r in simhash.near_duplicates(documents(spark, rows)).collect()}
+    expected = slow_groups([slow_fingerprint(t) for _, t in rows])
+    for doc, text in rows:
+        group = [d for d, t in rows if expected[slow_fingerprint(t)] == expected[slow_fingerprint(text)]]
+        assert got[doc].component_id == min(group)
+        assert got[doc].fp % 2**64 == slow_fingerprint(text)
+    kept = sorted(r.doc_id for r in simhash.one_of_each(documents(spark, rows)).collect())
+    assert kept == sorted({r.component_id for r in got.values()})
+
+
+def test_awkward_rows(spark):
+    frame = awkward(spark)
+    got = simhash.near_duplicates(frame).collect()
+    assert len(got) == frame.count()
+    assert {r.component_id for r in got if r.doc_id in (1, 2, 3)} == {1}
+    kept = simhash.one_of_each(frame)
+    assert kept.columns == frame.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == [1, 4, 4, 5, 7, 9, 10, 11] and None in ids
+    assert simhash.one_of_each(frame.limit(0)).count() == 0
