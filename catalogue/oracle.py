@@ -338,47 +338,24 @@ REFRESHED_METRICS = {**LANDED, **metrics_of("f_subscriptions")}
 REFRESHED = {**LANDED, **metrics_of("f_subscriptions"), **cohorts_of("f_subscriptions")}
 
 
-# Ledgers
-
-LEDGER = {
-    "l_sized": """
-        SELECT c_custkey AS customer_index, concat('cus_', CAST(c_custkey AS VARCHAR)) AS customer_id,
-               c_custkey // 100 AS block,
-               CASE WHEN c_custkey % 100 < 8 THEN 0 WHEN c_custkey % 100 < 23 THEN 1
-                    WHEN c_custkey % 100 < 48 THEN 2 WHEN c_custkey % 100 < 60 THEN 3
-                    WHEN c_custkey % 100 < 78 THEN 4 ELSE 5 END AS acquisition_month
-        FROM customer""",
-    "l_schedule": """
-        SELECT * FROM (VALUES
-          (0, 1, 'canceled', 1), (0, 2, 'canceled', 1), (0, 3, 'canceled', 2), (0, 4, 'past_due', 3),
-          (1, 1, 'canceled', 2), (1, 2, 'canceled', 2), (1, 3, 'canceled', 3), (1, 4, 'canceled', 3),
-          (1, 5, 'past_due', 2), (1, 6, 'past_due', 2),
-          (2, 1, 'canceled', 3), (2, 2, 'canceled', 3), (2, 3, 'canceled', 3), (2, 4, 'canceled', 4),
-          (2, 5, 'canceled', 4), (2, 6, 'past_due', 3), (2, 7, 'past_due', 3), (2, 8, 'past_due', 4),
-          (3, 1, 'canceled', 4), (3, 2, 'canceled', 4), (3, 3, 'canceled', 4), (3, 4, 'canceled', 5),
-          (3, 5, 'past_due', 4), (3, 6, 'past_due', 4),
-          (4, 1, 'canceled', 5), (4, 2, 'canceled', 5), (4, 3, 'canceled', 5), (4, 4, 'canceled', 5),
-          (4, 5, 'past_due', 5), (4, 6, 'past_due', 5)) AS t(acquisition_month, arrival, status, event_month)""",
-    "l_ledger": """
-        SELECT r.customer_index, r.customer_id, r.block, r.acquisition_month,
-               coalesce(e.status, 'active') AS status,
-               CASE WHEN e.status = 'canceled' THEN e.event_month END AS cancel_month,
-               CASE WHEN e.status = 'canceled' THEN e.event_month - r.acquisition_month END AS cancel_after_months,
-               CASE WHEN e.status = 'past_due' THEN e.event_month END AS past_due_month,
-               CASE WHEN (r.customer_index * 7919) % 100 < 40 THEN 'starter'
-                    WHEN (r.customer_index * 7919) % 100 < 70 THEN 'professional'
-                    WHEN (r.customer_index * 7919) % 100 < 90 THEN 'business' ELSE 'enterprise' END AS plan,
-               CASE WHEN (r.customer_index * 7919) % 100 < 40 THEN 29
-                    WHEN (r.customer_index * 7919) % 100 < 70 THEN 79
-                    WHEN (r.customer_index * 7919) % 100 < 90 THEN 149 ELSE 299 END AS plan_price
-        FROM (SELECT *, row_number() OVER (PARTITION BY block, acquisition_month ORDER BY customer_index) AS arrival
-              FROM l_sized) r
-             LEFT JOIN l_schedule e ON e.acquisition_month = r.acquisition_month AND e.arrival = r.arrival""",
-}
-
 _ELAPSED = f"date_diff('day', start_date, least(coalesce(canceled_at, {AS_OF}), {AS_OF}))"
 
 
+_ACQUISITIONS = """
+    SELECT customer_id, strftime(min(start_date), '%Y-%m') AS acquisition_month,
+           CASE WHEN bool_or(status = 'active') THEN 'active' WHEN bool_or(status = 'past_due') THEN 'past_due'
+                ELSE 'canceled' END AS status
+    FROM b_subscriptions GROUP BY customer_id"""
+
+_REFRESHED_COUNTS = """
+    SELECT 'customers' AS table_name, count(*) AS row_count FROM b_customers
+    UNION ALL SELECT 'products', count(*) FROM b_products
+    UNION ALL SELECT 'prices', count(*) FROM b_prices
+    UNION ALL SELECT 'subscriptions', count(*) FROM f_subscriptions
+    UNION ALL SELECT 'invoices', count(*) FROM b_invoices
+    UNION ALL SELECT 'mrr_monthly_summary', count(*) FROM m_metrics
+    UNION ALL SELECT 'customer_cohorts', count(*) FROM c_retention"""
+
 _SUMMARY_ROWS = "SELECT {} FROM m_summary"
 _TREND_COLUMNS = {
     "mrr_growth_trend": "month_year, total_mrr, new_mrr, churned_mrr, net_new_mrr, growth_rate, active_customers, churn_rate",
@@ -428,17 +405,6 @@ ORACLE = {
     "cohort_assignment": with_base("SELECT * FROM c_customers", COHORTS),
     "cohort_retention": with_base("SELECT * FROM c_retention", COHORTS),
     "cohort_table": with_base(f"SELECT *, {STAMP} AS calculated_at FROM c_retention", COHORTS),
-    "active_customers_by_month": with_base(
-        """SELECT CAST(year(month_start_date) * 12 + month(month_start_date) - 1 AS INTEGER) AS month_no,
-                  active_customers FROM m_grid
-           UNION ALL
-           SELECT CAST(year(lo) * 12 + month(lo) - 1 AS INTEGER), n FROM (
-             SELECT CAST(month_start - INTERVAL 1 MONTH AS DATE) AS lo, count(DISTINCT customer_id) AS n
-             FROM (SELECT min(month_start) AS month_start FROM m_months), b_subscriptions
-             WHERE start_date <= month_start AND (canceled_at IS NULL OR canceled_at >= month_start)
-             GROUP BY 1) WHERE n > 0""",
-        METRICS,
-    ),
     "flatten_customers": with_base(
         f"""SELECT customer_id, email, name, description, {at(f'{DAY0} + c_custkey * 60')} AS created,
                    'usd' AS currency, delinquent,
@@ -516,51 +482,34 @@ ORACLE = {
         """SELECT invoice_id, customer_id, status, total, created,
                   strftime(created, '%Y-%m') AS load_month FROM b_invoices"""
     ),
-    "full_refresh": with_base(
-        """SELECT 'customers' AS table_name, count(*) AS row_count FROM b_customers
-           UNION ALL SELECT 'products', count(*) FROM b_products
-           UNION ALL SELECT 'prices', count(*) FROM b_prices
-           UNION ALL SELECT 'subscriptions', count(*) FROM f_subscriptions
-           UNION ALL SELECT 'invoices', count(*) FROM b_invoices
-           UNION ALL SELECT 'mrr_monthly_summary', count(*) FROM m_metrics
-           UNION ALL SELECT 'customer_cohorts', count(*) FROM c_retention""",
-        REFRESHED,
-    ),
+    "full_refresh": with_base(_REFRESHED_COUNTS, REFRESHED),
     "stored_monthly_summary": with_base("SELECT * FROM m_summary", REFRESHED_METRICS),
-    "cohort_sizing": with_base(
-        "SELECT customer_id, customer_index, block, acquisition_month FROM l_sized", LEDGER
-    ),
-    "weighted_plan": with_base(
-        """SELECT c_custkey AS customer_index,
-                  CASE WHEN (c_custkey * 7919 + 7) % 100 < 40 THEN 'starter'
-                       WHEN (c_custkey * 7919 + 7) % 100 < 70 THEN 'professional'
-                       WHEN (c_custkey * 7919 + 7) % 100 < 90 THEN 'business' ELSE 'enterprise' END AS plan
-           FROM customer"""
-    ),
-    "batch_in_group": with_base(
-        """SELECT customer_index, acquisition_month,
-                  (row_number() OVER (PARTITION BY acquisition_month ORDER BY customer_index) - 1) // 3 AS batch
-           FROM l_sized""",
-        LEDGER,
-    ),
-    "batches_per_group": with_base(
-        """SELECT block, acquisition_month, count(*) AS members, (count(*) + 2) // 3 AS batches
-           FROM l_sized GROUP BY block, acquisition_month""",
-        LEDGER,
-    ),
-    "schedule_status_by_rank": with_base(
-        """SELECT customer_index, block, acquisition_month, status, cancel_month, cancel_after_months,
-                  past_due_month FROM l_ledger""",
-        LEDGER,
-    ),
-    "scheduled_cancellations": with_base(
-        """SELECT l.customer_id, s.subscription_id, l.cancel_after_months,
-                  s.start_date + 30 * l.cancel_after_months AS cancel_date
-           FROM l_ledger l JOIN (
-             SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY start_date, subscription_id) AS n
-             FROM b_order_facts) s ON s.customer_id = l.customer_id AND s.n = 1
-           WHERE l.status = 'canceled' AND l.cancel_after_months >= 1""",
-        LEDGER,
+    "stored_subscriptions": with_base("SELECT * FROM f_subscriptions", LANDED),
+    "stored_invoices": with_base(invoices_flat("b_invoices")),
+    "stored_customer_cohorts": with_base(f"SELECT *, {STAMP} AS calculated_at FROM c_retention", REFRESHED),
+    "failed_refresh_keeps_table": with_base(
+        "SELECT price_id, product_id, unit_amount, recurring_interval, 'failed' AS outcome FROM b_prices"
+    ),
+    "landing_rejects": with_base(
+        """SELECT subscription_id, 'subscriptions' AS entity, reason FROM (
+             SELECT s.subscription_id,
+                    CASE WHEN s.o_orderkey % 40 = 1 AND price_there AND s.o_orderkey % 13 <> 0 THEN 'malformed'
+                         WHEN s.o_orderkey % 40 = 2 AND item_there THEN 'malformed'
+                         WHEN s.o_orderkey % 40 = 3 AND s.o_orderkey % 23 <> 0 THEN 'malformed'
+                         WHEN s.o_orderkey % 40 = 4 THEN 'malformed'
+                         WHEN s.o_orderkey % 40 = 5 THEN 'no customer'
+                         WHEN s.o_orderkey % 40 = 6 THEN 'no status'
+                         WHEN item_there AND NOT price_there THEN 'no price' END AS reason
+             FROM (SELECT *, price_id IS NOT NULL AND o_orderkey % 29 <> 0 AS item_there,
+                          price_id IS NOT NULL AND o_orderkey % 29 <> 0 AND o_orderkey % 31 <> 0 AS price_there
+                   FROM b_subscriptions) s)
+           WHERE reason IS NOT NULL"""
+    ),
+    "catalog_roundtrip": with_base(_REFRESHED_COUNTS, REFRESHED),
+    "subscriptions_from_references": with_base(
+        """SELECT subscription_id, customer_id, status FROM f_subscriptions f WHERE EXISTS (
+             SELECT 1 FROM b_raw_invoices i WHERE i.subscription_id = f.subscription_id)""",
+        LANDED,
     ),
     "billing_periods": with_base(
         f"""SELECT subscription_id, CAST(period_number AS INTEGER) AS period_number,
@@ -569,37 +518,34 @@ ORACLE = {
                   FROM b_order_facts WHERE {_ELAPSED} >= 0)"""
     ),
     "running_net_mrr": with_base(
-        """SELECT month, CAST(new_mrr AS BIGINT) AS new_mrr, CAST(churned_mrr AS BIGINT) AS churned_mrr,
-                  CAST(sum(new_mrr - churned_mrr) OVER (ORDER BY month) AS BIGINT) AS net_mrr
-           FROM (SELECT m.month,
-                        (SELECT coalesce(sum(plan_price), 0) FROM l_ledger WHERE acquisition_month = m.month) AS new_mrr,
-                        (SELECT coalesce(sum(plan_price), 0) FROM l_ledger WHERE cancel_month = m.month) AS churned_mrr
-                 FROM (VALUES (0), (1), (2), (3), (4), (5)) AS m(month))""",
-        LEDGER,
+        """SELECT month_year, new_mrr, churned_mrr,
+                  CAST(sum(CAST(new_mrr - churned_mrr AS DECIMAL(24,6))) OVER (ORDER BY month_year) AS DOUBLE) AS net_mrr
+           FROM m_metrics""",
+        METRICS,
     ),
     "acquisition_pivot": with_base(
-        """SELECT acquisition_month, count(*) AS customers, count(*) FILTER (status = 'active') AS active,
-                  count(*) FILTER (status = 'canceled') AS canceled,
-                  count(*) FILTER (status = 'past_due') AS past_due
-           FROM l_ledger GROUP BY acquisition_month""",
-        LEDGER,
+        f"""SELECT acquisition_month, count(*) AS customers, count(*) FILTER (status = 'active') AS active,
+                   count(*) FILTER (status = 'canceled') AS canceled,
+                   count(*) FILTER (status = 'past_due') AS past_due
+            FROM ({_ACQUISITIONS}) GROUP BY acquisition_month"""
     ),
     "status_share": with_base(
-        """SELECT status, count(*) AS customers,
-                  CAST(100 * count(*) AS DOUBLE) / (SELECT count(*) FROM l_ledger) AS share_percent
-           FROM l_ledger GROUP BY status""",
-        LEDGER,
+        """SELECT status, count(*) AS subscriptions,
+                  CAST(100 * count(*) AS DOUBLE) / (SELECT count(*) FROM b_subscriptions) AS share_percent
+           FROM b_subscriptions GROUP BY status"""
     ),
     "plan_distribution": with_base(
-        """SELECT plan, count(*) AS customers, CAST(sum(plan_price) AS DOUBLE) AS mrr
-           FROM l_ledger WHERE status = 'active' GROUP BY plan""",
-        LEDGER,
-    ),
-    "capped_invoice_count": with_base(
-        """SELECT acquisition_month, count(*) AS customers,
-                  CAST(sum(least(coalesce(n, 0), 10)) AS BIGINT) AS invoices_counted
-           FROM l_sized LEFT JOIN (SELECT customer_id, count(*) AS n FROM b_invoices GROUP BY customer_id)
-                USING (customer_id) GROUP BY acquisition_month""",
-        LEDGER,
+        """SELECT p.name AS plan, count(s.subscription_id) AS subscriptions,
+                  CAST(100 * count(s.subscription_id) AS DOUBLE)
+                  / (SELECT count(*) FROM b_subscriptions JOIN b_products USING (product_id) WHERE status = 'active')
+                  AS share_percent
+           FROM b_products p LEFT JOIN b_subscriptions s ON s.product_id = p.product_id AND s.status = 'active'
+           GROUP BY p.name"""
+    ),
+    "invoices_per_acquisition_month": with_base(
+        f"""SELECT acquisition_month, count(*) AS customers, CAST(coalesce(sum(n), 0) AS BIGINT) AS invoices
+            FROM ({_ACQUISITIONS}) LEFT JOIN (
+              SELECT customer_id, count(*) AS n FROM b_invoices GROUP BY customer_id) USING (customer_id)
+            GROUP BY acquisition_month"""
     ),
 }

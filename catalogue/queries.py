@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +13,7 @@ from revtide import schemas, session
 from revtide import testbed as tb
 from revtide.functions.billing import monthly_amount
 from revtide.functions.months import utc
-from revtide.operators import checks, ledger, ranking
-from revtide.operators.activity import customers_per_month
+from revtide.operators import checks, ledger
 from revtide.operators.dedup import keep_first
 from revtide.plans import cohorts, dashboard, monthly, refresh, reports
 from revtide.sinks import tables
@@ -148,15 +148,6 @@ def cohort_table(spark, sf):
     return _plain_times(cohorts.cohort_table(tb.subscriptions(spark, sf), AS_OF, EXTRACTED_AT))
 
 
-def active_customers_by_month(spark, sf):
-    counts = customers_per_month(tb.subscriptions(spark, sf), AS_OF)
-    return (
-        counts.groupBy("month_no")
-        .agg(F.sum("active_customers").alias("active_customers"))
-        .filter("active_customers > 0")
-    )
-
-
 # Sources
 
 def _flat(spark, sf, entity):
@@ -232,7 +223,8 @@ def children_of_known_parents(spark, sf):
 
 def union_sources(spark, sf):
     everyone = tb.customers(spark, sf).select("customer_id", "description", "delinquent")
-    late, current = everyone.filter("delinquent"), everyone.filter("NOT delinquent")
+    late = everyone.filter("delinquent")
+    current = everyone.filter("NOT coalesce(delinquent, false)")  # an unknown flag is not late
     return selection.union_sources(late, current.select("delinquent", "description", "customer_id"))
 
 
@@ -323,77 +315,119 @@ def stored_monthly_summary(spark, sf):
     return _plain_times(tables.read_table(spark, warehouse, "mrr_monthly_summary"))
 
 
-# Ledgers
-
-def _indexed_customers(spark, sf):
-    return tb.read(spark, sf, "customer").select(
-        F.concat(F.lit("cus_"), F.col("c_custkey").cast("string")).alias("customer_id"),
-        F.col("c_custkey").alias("customer_index"),
-    )
+def stored_subscriptions(spark, sf):
+    warehouse, _ = _refreshed(spark, sf)
+    return _plain_times(tables.read_table(spark, warehouse, "subscriptions"))
 
 
-def _ledger(spark, sf):
-    return ledger.customer_ledger(_indexed_customers(spark, sf), "customer_index")
+def stored_invoices(spark, sf):
+    warehouse, _ = _refreshed(spark, sf)
+    return _plain_times(tables.read_table(spark, warehouse, "invoices"))
 
 
-def cohort_sizing(spark, sf):
-    return ledger.cohort_sizing(_indexed_customers(spark, sf), "customer_index")
+def stored_customer_cohorts(spark, sf):
+    warehouse, _ = _refreshed(spark, sf)
+    return _plain_times(tables.read_table(spark, warehouse, "customer_cohorts"))
 
 
-def weighted_plan(spark, sf):
-    return _indexed_customers(spark, sf).select(
-        "customer_index", ledger.weighted_plan("customer_index", 7).alias("plan")
+def failed_refresh_keeps_table(spark, sf):
+    """A second load in which some required values are missing stops; what the first stored is still there."""
+    warehouse = session.scratch_dir(spark, "failing")
+    rows = tb.prices(spark, sf).withColumn("extracted_at", utc(EXTRACTED_AT)).withColumns(
+        {"recurring_interval_count": F.lit(1).cast("bigint"), "created": utc(EXTRACTED_AT)}
     )
-
-
-def batch_in_group(spark, sf):
-    sized = cohort_sizing(spark, sf).select("customer_index", "acquisition_month")
-    return ranking.batch_in_group(
-        sized, ["acquisition_month"], "customer_index", ledger.BATCH_SIZE
+    tables.replace_named_table(checks.conform(rows, schemas.PRICES, "prices"), warehouse, "prices")
+    broken = rows.withColumn("product_id", F.when(F.col("recurring_interval") != "day", F.col("product_id")))
+    try:
+        tables.replace_named_table(checks.conform(broken, schemas.PRICES, "prices"), warehouse, "prices")
+    except PySparkException:
+        outcome = "failed"
+    else:
+        outcome = "stored"
+    kept = tables.read_table(spark, warehouse, "prices")
+    return kept.select("price_id", "product_id", "unit_amount", "recurring_interval", F.lit(outcome).alias("outcome"))
+
+
+def landing_rejects(spark, sf):
+    """Subscription lines of which some, by key, are broken in one way or another."""
+    lines = tb.subscription_lines(spark, sf).withColumn(
+        "key", F.regexp_extract("value", '"id":"sub_([0-9]+)"', 1).cast("bigint")
     )
 
-
-def batches_per_group(spark, sf):
-    sized = cohort_sizing(spark, sf).select("customer_index", "block", "acquisition_month")
-    return ranking.batches_per_group(sized, ["block", "acquisition_month"], ledger.BATCH_SIZE)
+    def put(old, new):
+        return F.regexp_replace("value", old, new)
+
+    key = F.col("key") % 40
+    broken = (
+        F.when(key == 1, put('"unit_amount":([0-9]+)', '"unit_amount":"$1"'))
+        .when(key == 2, put('"quantity":([0-9]+)', '"quantity":$1.5'))
+        .when(key == 3, put('"created":[0-9]+', '"created":"1999-01-01"'))
+        .when(key == 4, F.expr("substring(value, 1, length(value) - 1)"))
+        .when(key == 5, put('"customer":"[^"]*",', ""))
+        .when(key == 6, put('"status":"[^"]*"', '"status":null'))
+        .otherwise(F.col("value"))
+    )
+    found = landing.rejects(lines.select(broken.alias("value"), "key"), "subscriptions")
+    return found.select(
+        F.regexp_extract("line", '"id":"(sub_[0-9]+)"', 1).alias("subscription_id"), "entity", "reason"
+    )
 
 
-def schedule_status_by_rank(spark, sf):
-    return _ledger(spark, sf).select(
-        "customer_index", "block", "acquisition_month", "status", "cancel_month",
-        "cancel_after_months", "past_due_month",
+def catalog_roundtrip(spark, sf):
+    """Rows of every table by name from the catalog, after two refreshes in different load months."""
+    folder = session.scratch_dir(spark, "catalog")
+    database = f"revtide_{folder.rsplit('-', 1)[1]}"
+    sources = tb.write_landing(spark, sf, f"{folder}/landing")
+    for stamp in (EXTRACTED_AT - dt.timedelta(days=40), EXTRACTED_AT):
+        refresh.full_refresh(spark, sources, f"{folder}/tables", AS_OF, stamp, database=database)
+    counts = checks.table_counts({name: spark.table(f"{database}.{name}") for name in schemas.TABLES})
+    stored = session.scratch_dir(spark, "catalog-counts")
+    counts.write.parquet(stored)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.parquet(stored)
+
+
+def subscriptions_from_references(spark, sf):
+    """No subscriptions delivered: those that invoices name are stored, known owner or not."""
+    folder = session.scratch_dir(spark, "references")
+    sources = tb.write_landing(spark, sf, f"{folder}/landing")
+    known = spark.read.text(sources["customers"]).filter(
+        F.get_json_object("value", "$.description") == "BUILDING"
     )
+    known.write.text(f"{folder}/known")
+    spark.createDataFrame([], "value string").write.text(f"{folder}/none")
+    landed = sources | {
+        "customers": f"{folder}/known", "subscriptions": f"{folder}/none", "subscriptions_lookup": sources["subscriptions"],
+    }
+    refresh.full_refresh(spark, landed, f"{folder}/tables", AS_OF, EXTRACTED_AT)
+    return tables.read_table(spark, f"{folder}/tables", "subscriptions").select("subscription_id", "customer_id", "status")
 
 
-def scheduled_cancellations(spark, sf):
-    return ledger.scheduled_cancellations(_ledger(spark, sf), tb.subscriptions(spark, sf))
-
+# Ledgers
 
 def billing_periods(spark, sf):
     return ledger.billing_periods(tb.subscriptions(spark, sf), AS_OF)
 
 
 def running_net_mrr(spark, sf):
-    return ledger.running_net_mrr(_ledger(spark, sf))
+    return ledger.running_net_mrr(monthly_metrics(spark, sf))
 
 
 def acquisition_pivot(spark, sf):
-    return ledger.acquisition_pivot(_ledger(spark, sf))
+    return ledger.acquisition_pivot(tb.subscriptions(spark, sf))
 
 
 def status_share(spark, sf):
-    return ledger.status_share(_ledger(spark, sf))
+    return ledger.status_share(tb.subscriptions(spark, sf))
 
 
 def plan_distribution(spark, sf):
-    return ledger.plan_distribution(_ledger(spark, sf))
+    return ledger.plan_distribution(tb.subscriptions(spark, sf), tb.products(spark, sf))
 
 
-def capped_invoice_count(spark, sf):
+def invoices_per_acquisition_month(spark, sf):
     invoices = tb.with_customer(spark, sf, tb.invoices(spark, sf))
-    return ledger.capped_invoice_count(
-        cohort_sizing(spark, sf), invoices, ["acquisition_month"]
-    )
+    return ledger.invoices_per_acquisition_month(tb.subscriptions(spark, sf), invoices)
 
 
 QUERIES = {
@@ -404,15 +438,16 @@ QUERIES = {
         revenue_by_collection_method_any_keys, revenue_by_collection_method_unfanned,
         month_series, monthly_metrics, monthly_summary, mrr_growth_trend, mrr_trend_analysis,
         growth_trend_inline, api_mrr_trend, monthly_table, chart_series, latest_summary,
-        kpi_cards, cohort_assignment, cohort_retention, cohort_table, active_customers_by_month,
-        flatten_customers, flatten_products, flatten_prices, flatten_subscriptions,
-        flatten_invoices, mrr_normalization, dedup_invoices, dedup_subscriptions,
-        first_nonempty_source, entities_from_references, children_of_known_parents,
-        union_sources, created_since, required_violations, table_counts, roundtrip_overwrite,
-        skip_empty_write, roundtrip_ndjson, roundtrip_partitioned_clustered, full_refresh,
-        stored_monthly_summary, cohort_sizing, weighted_plan, batch_in_group, batches_per_group,
-        schedule_status_by_rank, scheduled_cancellations, billing_periods, running_net_mrr,
-        acquisition_pivot, status_share, plan_distribution, capped_invoice_count,
+        kpi_cards, cohort_assignment, cohort_retention, cohort_table, flatten_customers,
+        flatten_products, flatten_prices, flatten_subscriptions, flatten_invoices,
+        mrr_normalization, dedup_invoices, dedup_subscriptions, first_nonempty_source,
+        entities_from_references, children_of_known_parents, union_sources, created_since,
+        required_violations, table_counts, roundtrip_overwrite, skip_empty_write,
+        roundtrip_ndjson, roundtrip_partitioned_clustered, full_refresh, stored_monthly_summary,
+        stored_subscriptions, stored_invoices, stored_customer_cohorts,
+        failed_refresh_keeps_table, landing_rejects, catalog_roundtrip,
+        subscriptions_from_references, billing_periods, running_net_mrr, acquisition_pivot,
+        status_share, plan_distribution, invoices_per_acquisition_month,
     )
 }
 

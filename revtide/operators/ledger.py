@@ -1,163 +1,94 @@
-"""Customer ledgers: cohort sizing, plans, scheduled statuses, billing periods."""
+"""Customer ledgers: acquisition cohorts, plans, billing periods, running revenue."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revtide.functions.months import BILLING_PERIOD_DAYS
 
-# Customers acquired per month of the six-month schedule.
-COHORT_SIZES = {0: 8, 1: 15, 2: 25, 3: 12, 4: 18, 5: 22}
-
-# Month of cancellation -> acquisition months of those canceled.
-CANCELLATIONS = {
-    1: (0, 0),
-    2: (0, 1, 1),
-    3: (1, 1, 2, 2, 2),
-    4: (2, 2, 3, 3, 3),
-    5: (3, 4, 4, 4, 4),
-}
-
-# Month of becoming past due -> acquisition months concerned.
-PAST_DUES = {2: (1, 1), 3: (0, 2, 2), 4: (2, 3, 3), 5: (4, 4)}
-
-# Plan -> (weight in percent, price in major units per month).
-PLANS = {
-    "starter": (40, 29),
-    "professional": (30, 79),
-    "business": (20, 149),
-    "enterprise": (10, 299),
-}
-
-PLAN_HASH_STEP = 7919
-BATCH_SIZE = 3
-INVOICE_CAP = 10
-
-
-def cohort_sizing(
-    customers: DataFrame, index: str, sizes: Mapping[int, int] = COHORT_SIZES
-) -> DataFrame:
-    """Assign acquisition months so that each has its fixed number of customers.
-
-    The schedule covers ``sum(sizes)`` consecutive indexes and repeats after
-    that; ``block`` numbers the repetitions.
-    """
-    total = sum(sizes.values())
-    position = F.pmod(F.col(index), F.lit(total))
-    upper, month = 0, None
-    for acquisition_month, size in sizes.items():
-        upper += size
-        inside = position < upper
-        month = (
-            F.when(inside, acquisition_month) if month is None else month.when(inside, acquisition_month)
-        )
-    block = F.floor(F.col(index) / total).cast("bigint")
-    return customers.withColumns({"block": block, "acquisition_month": month})
 
+def acquisitions(subscriptions: DataFrame) -> DataFrame:
+    """Each customer's first month and standing.
 
-def weighted_plan(index: str, seed: int = 0) -> Column:
-    """Plan drawn by a fixed hash of the index, so reruns agree."""
-    draw = F.pmod(F.col(index) * PLAN_HASH_STEP + seed, F.lit(100))
-    upper, plan = 0, None
-    for name, (weight, _) in PLANS.items():
-        upper += weight
-        plan = F.when(draw < upper, name) if plan is None else plan.when(draw < upper, name)
-    return plan
+    A customer with any active subscription is active, else past due with any
+    past-due one, else canceled.  Everything is a counter or a minimum, so the
+    aggregation hashes and starts in the map tasks.
+    """
+    status = F.col("status")
+    per_customer = subscriptions.groupBy("customer_id").agg(
+        F.min("start_date").alias("first_start"),
+        F.count_if(status == "active").alias("active"),
+        F.count_if(status == "past_due").alias("past_due"),
+    )
+    standing = F.when(F.col("active") > 0, "active").when(F.col("past_due") > 0, "past_due").otherwise("canceled")
+    return per_customer.select(
+        "customer_id", F.date_format("first_start", "yyyy-MM").alias("acquisition_month"), standing.alias("status")
+    )
 
 
-def _with_columns_from(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join to a lookup of fixed size."""
-    return rows.join(F.broadcast(lookup), list(keys), "left")
+def acquisition_pivot(subscriptions: DataFrame) -> DataFrame:
+    """Customers per acquisition month, in total and by standing."""
+    status = F.col("status")
+    return (
+        acquisitions(subscriptions)
+        .groupBy("acquisition_month")
+        .agg(
+            F.count(F.lit(1)).alias("customers"),
+            *[F.count_if(status == s).alias(s) for s in ("active", "canceled", "past_due")],
+        )
+        .orderBy("acquisition_month")
+    )
 
 
-def _schedule(rows: DataFrame, cancellations: Mapping, past_dues: Mapping) -> DataFrame:
-    """One row per scheduled event: the how-manieth customer of which month.
+def status_share(subscriptions: DataFrame) -> DataFrame:
+    """Subscriptions per status and their percentage of all."""
+    counted = subscriptions.groupBy("status").agg(F.count(F.lit(1)).alias("subscriptions"))
+    # One row per status by now.
+    share = F.expr("try_divide(100 * subscriptions, sum(subscriptions) OVER ())")
+    return counted.withColumn("share_percent", share).orderBy("status")
 
-    Within an acquisition month, cancellations come first and earlier event
-    months first.  The size is that of the schedule.
-    """
-    events = [
-        (acquired, kind, month)
-        for kind, table in ((0, cancellations), (1, past_dues))
-        for month, acquired_months in table.items()
-        for acquired in acquired_months
-    ]
-    listed = rows.sparkSession.createDataFrame(
-        [(a, k, m) for a, k, m in events], "acquisition_month int, kind int, event_month int"
+
+def plan_distribution(subscriptions: DataFrame, products: DataFrame) -> DataFrame:
+    """Active subscriptions per plan and their percentage; plans without any are listed too."""
+    active = (
+        subscriptions.filter(F.col("status") == "active")
+        .groupBy("product_id")
+        .agg(F.count(F.lit(1)).alias("subscriptions"))
     )
-    order = Window.partitionBy("acquisition_month").orderBy("kind", "event_month")
-    return listed.withColumn("arrival", F.row_number().over(order).cast("bigint"))
+    named = products.select("product_id", F.col("name").alias("plan")).join(active, "product_id", "left")
+    per_plan = named.groupBy("plan").agg(F.coalesce(F.sum("subscriptions"), F.lit(0)).alias("subscriptions"))
+    # One row per plan by now.
+    share = F.expr("coalesce(try_divide(100 * subscriptions, sum(subscriptions) OVER ()), 0D)")
+    return per_plan.withColumn("share_percent", share).orderBy("plan")
 
 
-def schedule_status(
-    customers: DataFrame,
-    index: str,
-    cancellations: Mapping[int, Sequence[int]] = CANCELLATIONS,
-    past_dues: Mapping[int, Sequence[int]] = PAST_DUES,
-) -> DataFrame:
-    """Give each customer a status by arrival within block and month.
+def invoices_per_acquisition_month(subscriptions: DataFrame, invoices: DataFrame) -> DataFrame:
+    """Customers of each acquisition month and all their invoices.
 
-    The first arrivals take the scheduled cancellations, the next the past
-    dues, the rest are active.  A block's month is as large as the schedule
-    says, which bounds the window's groups.
+    Invoices are counted per customer before the join.
     """
-    arrival = F.row_number().over(Window.partitionBy("block", "acquisition_month").orderBy(index))
-    ranked = customers.withColumn("arrival", arrival.cast("bigint"))
-    schedule = _schedule(customers, cancellations, past_dues)
-    joined = _with_columns_from(ranked, schedule, ["acquisition_month", "arrival"])
-    canceled, past_due = F.col("kind") == 0, F.col("kind") == 1
-    cancel_month = F.when(canceled, F.col("event_month"))
-    return joined.withColumns(
-        {
-            "status": F.when(canceled, "canceled").when(past_due, "past_due").otherwise("active"),
-            "cancel_month": cancel_month,
-            "cancel_after_months": cancel_month - F.col("acquisition_month"),
-            "past_due_month": F.when(past_due, F.col("event_month")),
-        }
-    ).drop("kind", "event_month", "arrival")
-
-
-def customer_ledger(customers: DataFrame, index: str, seed: int = 0) -> DataFrame:
-    """Cohort, plan, price and status of every customer."""
-    sized = cohort_sizing(customers, index).withColumn("plan", weighted_plan(index, seed))
-    return plan_prices(schedule_status(sized, index))
-
-
-def plan_prices(rows: DataFrame) -> DataFrame:
-    lookup = rows.sparkSession.createDataFrame(
-        [(name, price) for name, (_, price) in PLANS.items()], "plan string, plan_price int"
-    )
-    return _with_columns_from(rows, lookup, ["plan"])
-
-
-def first_subscriptions(subscriptions: DataFrame) -> DataFrame:
-    """Each customer's earliest subscription."""
-    first = F.min(F.struct("start_date", "subscription_id"))
+    per_customer = invoices.groupBy("customer_id").agg(F.count(F.lit(1)).alias("invoices"))
     return (
-        subscriptions.groupBy("customer_id")
-        .agg(first.alias("first"))
-        .select("customer_id", "first.subscription_id", "first.start_date")
+        acquisitions(subscriptions)
+        .join(per_customer, "customer_id", "left")
+        .groupBy("acquisition_month")
+        .agg(
+            F.count(F.lit(1)).alias("customers"),
+            F.coalesce(F.sum("invoices"), F.lit(0)).alias("invoices"),
+        )
+        .orderBy("acquisition_month")
     )
 
 
-def scheduled_cancellations(ledger: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """Cancel events: the customer's subscription ends after whole periods.
-
-    Customers without a subscription, or whose cancellation does not lie at
-    least one period ahead, have no event.
-    """
-    due = ledger.filter((F.col("status") == "canceled") & (F.col("cancel_after_months") >= 1))
-    days = F.col("cancel_after_months") * BILLING_PERIOD_DAYS
-    return due.join(first_subscriptions(subscriptions), "customer_id").select(
-        "customer_id",
-        "subscription_id",
-        "cancel_after_months",
-        F.date_add(F.to_date("start_date"), days).alias("cancel_date"),
-    )
+def running_net_mrr(metrics: DataFrame) -> DataFrame:
+    """New and churned revenue per month, and new minus churned accumulated; from the monthly metrics."""
+    upto = Window.orderBy("month_year").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Millionths add up exactly; one row per month.
+    net = F.sum((F.col("new_mrr") - F.col("churned_mrr")).cast("decimal(24,6)")).over(upto).cast("double")
+    return metrics.select("month_year", "new_mrr", "churned_mrr", net.alias("net_mrr")).orderBy("month_year")
 
 
 def billing_periods(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
@@ -180,67 +111,3 @@ def billing_periods(subscriptions: DataFrame, as_of: dt.date) -> DataFrame:
         "period_number",
         F.date_add("_start", F.col("period_number") * BILLING_PERIOD_DAYS).alias("period_start"),
     )
-
-
-def running_net_mrr(ledger: DataFrame) -> DataFrame:
-    """New, churned and accumulated amount per month of the schedule."""
-    price = F.col("plan_price").cast("bigint")
-    zero = F.lit(0).cast("bigint")
-    moves = F.array(
-        F.struct(F.col("acquisition_month").alias("month"), price.alias("new"), zero.alias("churned")),
-        F.struct(F.col("cancel_month").alias("month"), zero.alias("new"), price.alias("churned")),
-    )
-    per_month = (
-        ledger.select(F.inline(moves))
-        .filter(F.col("month").isNotNull())
-        .groupBy("month")
-        .agg(F.sum("new").alias("new_mrr"), F.sum("churned").alias("churned_mrr"))
-    )
-    upto = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    net = F.sum(F.col("new_mrr") - F.col("churned_mrr")).over(upto)
-    return per_month.withColumn("net_mrr", net).orderBy("month")
-
-
-def acquisition_pivot(ledger: DataFrame) -> DataFrame:
-    """Customers per acquisition month, in total and by status."""
-    status = F.col("status")
-    return (
-        ledger.groupBy("acquisition_month")
-        .agg(
-            F.count(F.lit(1)).alias("customers"),
-            *[F.count_if(status == s).alias(s) for s in ("active", "canceled", "past_due")],
-        )
-        .orderBy("acquisition_month")
-    )
-
-
-def status_share(rows: DataFrame) -> DataFrame:
-    """Rows per status and their percentage of all rows."""
-    counted = rows.groupBy("status").agg(F.count(F.lit(1)).alias("customers"))
-    # One row per status by now.
-    share = F.expr("try_divide(100 * customers, sum(customers) OVER ())")
-    return counted.withColumn("share_percent", share).orderBy("status")
-
-
-def plan_distribution(ledger: DataFrame) -> DataFrame:
-    """Active customers and their monthly amount per plan."""
-    return (
-        ledger.filter(F.col("status") == "active")
-        .groupBy("plan")
-        .agg(F.count(F.lit(1)).alias("customers"), F.sum("plan_price").cast("double").alias("mrr"))
-        .orderBy("plan")
-    )
-
-
-def capped_invoice_count(
-    members: DataFrame, invoices: DataFrame, group: Sequence[str], cap: int = INVOICE_CAP
-) -> DataFrame:
-    """Invoices per group of customers, counting at most ``cap`` per customer."""
-    per_customer = invoices.groupBy("customer_id").agg(F.count(F.lit(1)).alias("invoices"))
-    counted = F.least(F.coalesce("invoices", F.lit(0)), F.lit(cap))
-    return (
-        members.join(per_customer, "customer_id", "left")
-        .groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("customers"), F.sum(counted).alias("invoices_counted"))
-        .orderBy(*group)
-    )

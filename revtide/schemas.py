@@ -94,7 +94,7 @@ UNIQUE_KEYS = {"subscriptions": "subscription_id", "invoices": "invoice_id"}
 _RECURRING = T.StructType([T.StructField("interval", _S), T.StructField("interval_count", _L)])
 _ITEM_PRICE = T.StructType([
     T.StructField("id", _S), T.StructField("product", _S), T.StructField("unit_amount", _L),
-    T.StructField("recurring", _RECURRING),
+    T.StructField("recurring", _S),  # the object's own JSON: an explicit null differs from a missing key
 ])
 _ITEM = T.StructType([
     T.StructField("quantity", _L), T.StructField("current_period_start", _L),

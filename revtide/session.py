@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings only, so they can be applied to a session somebody else
-# built.  Adaptive execution sizes the reducers and splits skewed join
+# built.  Adaptive execution merges small reducers and splits skewed join
 # partitions; dates are taken from timestamps in UTC.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,27 +16,31 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+#: Adaptive execution only merges reducers, so a shuffle has to start with
+#: enough of them: 8,192 hold 100 TB at 12 GB each, read and sorted with spills.
+REDUCERS = 8192
+_REDUCERS_START = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-@functools.cache
-def _local_base(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"revtide-{application_id}-")
+#: Where scratch tables go if the cluster does not name a checkpoint folder.
+SCRATCH = "revtide.scratch.dir"
 
 
-def configure(spark: SparkSession) -> SparkSession:
+def configure(spark: SparkSession, reducers: int = REDUCERS) -> SparkSession:
+    """Apply the settings; a number of shuffle partitions somebody set is kept."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    if all(spark.conf.get(key, None) is None for key in ("spark.sql.shuffle.partitions", _REDUCERS_START)):
+        spark.conf.set(_REDUCERS_START, str(reducers))
     return spark
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the folder named by ``spark.checkpoint.dir``.
+def scratch_base(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
+
 
-    Only a local-mode session (tests, laptop) may go without the setting; on a
-    cluster a driver-local folder would be invisible to the executors.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh path below the shared folder that the session names."""
+    base = scratch_base(spark)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_base(spark.sparkContext.applicationId)
+        raise ValueError(f"set spark.checkpoint.dir or {SCRATCH} to a folder all executors share")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -6,34 +6,80 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revtide import schemas
 from revtide.functions.billing import epoch_or_null, first_element, monthly_amount, or_default
 from revtide.functions.months import utc
 
 ARRIVAL = "_arrival"
+REASON = "_reason"
+MALFORMED = "malformed"
+_CORRUPT = "_corrupt_record"
 
+#: Fields without which a single object is skipped and reported.
+REQUIRED = {"subscriptions": ("id", "customer", "status")}
 
-def read_landing(spark: SparkSession, entity: str, path: str | list[str]) -> DataFrame:
-    """Read one entity's files with its explicit nested schema.
 
-    ``_arrival`` orders rows by file, block and line.  It is the same on every
-    run over the same files, so keep-first decisions survive task retries.
+def landing_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``value, _arrival``: the lines of an entity's files and their order.
+
+    Files follow the first number in their names; where that is the same or
+    missing, a hash of the path decides.  The order is the same on every run
+    over the same files, so keep-first decisions survive task retries.
     """
-    raw = spark.read.schema(schemas.LANDING[entity]).json(path)
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{1,18})", 1)
     arrival = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.coalesce(F.nullif(number, F.lit("")).cast("bigint"), F.lit(0).cast("bigint")).alias("file"),
+        F.xxhash64("_metadata.file_path").alias("path_hash"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    return raw.select("*", arrival.alias(ARRIVAL))
+    lines = spark.read.text(path).select("value", arrival.alias(ARRIVAL), F.col("_metadata.file_path").alias("file"))
+    return lines.filter(F.trim("value") != "")
 
 
 def parse_landing(lines: DataFrame, entity: str, text_column: str = "value") -> DataFrame:
-    """Parse JSON text that already sits in a column; other columns are kept."""
-    parsed = lines.withColumn("_object", F.from_json(text_column, schemas.LANDING[entity]))
+    """Parse JSON text that sits in a column; other columns are kept.
+
+    Lines that ``rejects`` lists are left out.
+    """
     kept = [c for c in lines.columns if c != text_column]
-    return parsed.select("_object.*", *kept)
+    parsed = _judged(lines, entity, text_column).filter(F.col(REASON).isNull())
+    fields = [F.col(f"_object.{name}") for name in schemas.LANDING[entity].fieldNames()]
+    return parsed.select(*fields, *kept)
+
+
+def read_landing(spark: SparkSession, entity: str, path: str | list[str]) -> DataFrame:
+    """One entity's objects, with its explicit nested schema and ``_arrival``."""
+    return parse_landing(landing_lines(spark, path).drop("file"), entity)
+
+
+def _judged(lines: DataFrame, entity: str, text_column: str) -> DataFrame:
+    """Adds the parsed ``_object`` and why the line is rejected, null if it is not."""
+    schema = T.StructType([*schemas.LANDING[entity].fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    read = lines.withColumn("_object", F.from_json(text_column, schema, options))
+    reason = F.when(F.col("_object").isNull() | F.col(f"_object.{_CORRUPT}").isNotNull(), F.lit(MALFORMED))
+    for name in REQUIRED.get(entity, ()):
+        reason = reason.when(F.col(f"_object.{name}").isNull(), F.lit(f"no {name}"))
+    if entity == "subscriptions":
+        item = first_element(F.col("_object.items.data"))
+        reason = reason.when(item.isNotNull() & item["price"].isNull(), F.lit("no price"))
+    return read.withColumn(REASON, reason)
+
+
+def rejects(lines: DataFrame, entity: str, text_column: str = "value") -> DataFrame:
+    """``entity, file, reason, line`` of the lines that cannot be loaded.
+
+    ``malformed``: not JSON, or a value that does not fit its column.  A
+    subscription is also rejected without an id, owner or status, or if its
+    first item has no price.
+    """
+    file = F.col("file") if "file" in lines.columns else F.lit(None).cast("string")
+    return _judged(lines, entity, text_column).filter(F.col(REASON).isNotNull()).select(
+        F.lit(entity).alias("entity"), file.alias("file"), F.col(REASON).alias("reason"), F.col(text_column).alias("line")
+    )
 
 
 def _stamp(extracted_at: dt.datetime | Column) -> Column:
@@ -105,9 +151,11 @@ def flatten_subscriptions(raw: DataFrame, extracted_at: dt.datetime | Column) ->
     price = F.col("_item.price")
     unit_amount = F.when(has_item, or_default(price["unit_amount"], F.lit(0)))
     quantity = or_default(F.col("_item.quantity"), F.lit(1))
+    # Monthly if the object has anything but an interval; an explicit null is no interval.
     recurring = price["recurring"]
-    recurs = recurring["interval"].isNotNull() | recurring["interval_count"].isNotNull()
-    interval = F.when(recurs, F.coalesce(recurring["interval"], F.lit("month")))
+    recurs = F.coalesce(F.size(F.json_object_keys(recurring)), F.lit(0)) > 0
+    named = F.array_contains(F.json_object_keys(recurring), "interval")
+    interval = F.when(recurs, F.when(named, F.get_json_object(recurring, "$.interval")).otherwise("month"))
 
     period_start = F.coalesce(
         F.nullif(F.col("_item.current_period_start"), F.lit(0)),

@@ -1,80 +1,6 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from revtide.operators import ledger
-from revtide.operators.ranking import batch_in_group, batches_per_group, rank_in_group
-
-# Expected figures of the 100-customer schedule, per acquisition month.
-CUSTOMERS = [8, 15, 25, 12, 18, 22]
-CANCEL_MONTHS = [[1, 1, 2], [2, 2, 3, 3], [3, 3, 3, 4, 4], [4, 4, 4, 5], [5, 5, 5, 5], []]
-PAST_DUE_MONTHS = [[3], [2, 2], [3, 3, 4], [4, 4], [5, 5], []]
-BATCHES = [3, 5, 9, 4, 6, 8]
-
-
-def book(spark, n=100):
-    return ledger.customer_ledger(spark.range(n).withColumnRenamed("id", "customer_index"), "customer_index")
-
-
-def test_golden_ledger(spark):
-    rows = book(spark).orderBy("customer_index").collect()
-    for month in range(6):
-        members = [r for r in rows if r.acquisition_month == month]
-        canceled = [r for r in members if r.status == "canceled"]
-        due = [r for r in members if r.status == "past_due"]
-        assert len(members) == CUSTOMERS[month]
-        assert [r.cancel_month for r in canceled] == CANCEL_MONTHS[month]
-        assert [r.past_due_month for r in due] == PAST_DUE_MONTHS[month]
-        assert all(r.cancel_after_months == r.cancel_month - month for r in canceled)
-        # Cancellations first, then past dues.
-        order = [r.status for r in members]
-        assert order == sorted(order, key=["canceled", "past_due", "active"].index)
-    assert [sum(r.plan == p for r in rows) for p in ledger.PLANS] == [40, 30, 20, 10]
-
-
-def test_ledger_repeats_by_block(spark):
-    counts = ledger.status_share(book(spark, 1000)).collect()
-    assert [(r.status, r.customers, r.share_percent) for r in counts] == [
-        ("active", 700, 70.0), ("canceled", 200, 20.0), ("past_due", 100, 10.0),
-    ]
-
-
-def test_pivot_trend_and_plans(spark):
-    rows = book(spark)
-    pivot = ledger.acquisition_pivot(rows).collect()
-    assert [r.customers for r in pivot] == CUSTOMERS
-    assert [r.canceled for r in pivot] == [len(c) for c in CANCEL_MONTHS]
-    local = rows.collect()
-    total, expected = 0, []
-    for month in range(6):
-        total += sum(r.plan_price for r in local if r.acquisition_month == month)
-        total -= sum(r.plan_price for r in local if r.cancel_month == month)
-        expected.append(total)
-    assert [r.net_mrr for r in ledger.running_net_mrr(rows).collect()] == expected
-    plans = ledger.plan_distribution(rows).collect()
-    assert sum(r.customers for r in plans) == 70
-    active = sum(r.plan_price for r in local if r.status == "active")
-    assert sum(r.mrr for r in plans) == active
-
-
-def test_batches(spark):
-    rows = book(spark)
-    per_group = batches_per_group(rows, ["acquisition_month"], 3).orderBy("acquisition_month").collect()
-    assert [r.batches for r in per_group] == BATCHES
-    batched = batch_in_group(rows, ["acquisition_month"], "customer_index", 3, slice_width=10)
-    sizes = batched.groupBy("acquisition_month", "batch").count().collect()
-    assert len(sizes) == 35 and max(r["count"] for r in sizes) == 3
-
-
-def test_rank_in_group_over_slices(spark):
-    rows = spark.range(0, 5000, 7).selectExpr("id AS n", "IF(id % 3 = 0, 'hot', IF(id % 5 = 0, NULL, 'cold')) AS g")
-    ranked = rank_in_group(rows, ["g"], "n", slice_width=100)
-    local = [tuple(r) for r in rows.collect()]
-    expected = {}
-    for n, g in local:
-        expected[n] = sum(1 for m, h in local if h == g and m <= n)
-    assert {r.n: r["rank"] for r in ranked.collect()} == expected
-
 
 SUBS = "subscription_id string, customer_id string, start_date timestamp, canceled_at timestamp"
 
@@ -100,19 +26,53 @@ def test_billing_periods(spark):
     ]
 
 
-def test_scheduled_cancellations(spark):
-    at = dt.datetime
-    rows = book(spark).withColumn("customer_id", F.concat(F.lit("c"), F.col("customer_index").cast("string")))
-    subs = spark.createDataFrame(
-        [("s2", "c0", at(2020, 2, 1), None), ("s1", "c0", at(2020, 1, 1), None), ("s3", "c7", at(2020, 1, 1), None)],
-        SUBS,
-    )
-    (event,) = ledger.scheduled_cancellations(rows, subs).collect()
-    assert (event.customer_id, event.subscription_id, event.cancel_date) == ("c0", "s1", dt.date(2020, 1, 31))
+def at(*day):
+    return dt.datetime(*day)
+
 
+FACTS = "subscription_id string, customer_id string, status string, start_date timestamp, product_id string"
+ROWS = [
+    ("s1", "a", "canceled", at(2020, 1, 5), "p1"), ("s2", "a", "active", at(2020, 3, 1), "p2"),
+    ("s3", "b", "canceled", at(2020, 1, 31), "p1"), ("s4", "c", "past_due", at(2020, 2, 1), "p1"),
+    ("s5", "c", "canceled", at(2020, 1, 1), None), ("s6", "d", "active", None, "p2"),
+]
 
-def test_capped_invoice_count(spark):
-    members = spark.createDataFrame([("a", 0), ("b", 0), ("c", 1)], "customer_id string, g int")
-    invoices = spark.createDataFrame([("a",)] * 25 + [("b",)] * 3, "customer_id string")
-    rows = ledger.capped_invoice_count(members, invoices, ["g"]).collect()
-    assert [(r.g, r.customers, r.invoices_counted) for r in rows] == [(0, 2, 13), (1, 1, 0)]
+
+def test_acquisitions_and_pivot(spark):
+    subs = spark.createDataFrame(ROWS, FACTS)
+    got = {tuple(r) for r in ledger.acquisitions(subs).collect()}
+    assert got == {
+        ("a", "2020-01", "active"), ("b", "2020-01", "canceled"), ("c", "2020-01", "past_due"), ("d", None, "active"),
+    }
+    pivot = {r.acquisition_month: (r.customers, r.active, r.canceled, r.past_due) for r in ledger.acquisition_pivot(subs).collect()}
+    assert pivot == {None: (1, 1, 0, 0), "2020-01": (3, 1, 1, 1)}
+
+
+def test_acquisitions_hash_only(spark):
+    plan = ledger.acquisition_pivot(spark.createDataFrame(ROWS, FACTS))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_shares_and_plans(spark):
+    subs = spark.createDataFrame(ROWS, FACTS)
+    shares = {r.status: (r.subscriptions, r.share_percent) for r in ledger.status_share(subs).collect()}
+    assert shares == {"active": (2, 100 / 3), "canceled": (3, 50.0), "past_due": (1, 100 / 6)}
+    products = spark.createDataFrame([("p1", "One"), ("p2", "Two")], "product_id string, name string")
+    plans = [tuple(r) for r in ledger.plan_distribution(subs, products).collect()]
+    assert plans == [("One", 0, 0.0), ("Two", 2, 100.0)]
+    nothing = ledger.plan_distribution(subs.limit(0), products).collect()
+    assert [tuple(r) for r in nothing] == [("One", 0, 0.0), ("Two", 0, 0.0)]
+
+
+def test_all_invoices_count(spark):
+    subs = spark.createDataFrame(ROWS, FACTS)
+    invoices = spark.createDataFrame([("a",)] * 25 + [("b",)] * 3 + [("stranger",), (None,)], "customer_id string")
+    rows = {r.acquisition_month: (r.customers, r.invoices) for r in ledger.invoices_per_acquisition_month(subs, invoices).collect()}
+    assert rows == {None: (1, 0), "2020-01": (3, 28)}
+
+
+def test_running_net_mrr(spark):
+    metrics = spark.createDataFrame(
+        [("2020-02", 0.1, 0.0), ("2020-01", 0.2, 0.0), ("2020-03", 0.0, 0.3)], "month_year string, new_mrr double, churned_mrr double"
+    )
+    assert [r.net_mrr for r in ledger.running_net_mrr(metrics).collect()] == [0.2, 0.3, 0.0]

@@ -2,12 +2,16 @@
 
 import contextlib
 import datetime as dt
+import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from revtide import session
 from revtide.operators.dedup import keep_first
 from revtide.plans import cohorts, monthly, reports
+from revtide.sources.landing import ARRIVAL, FLATTEN, read_landing
 from revtide.sources.selection import children_of
 
 AS_OF = dt.date(2021, 12, 31)
@@ -127,3 +131,45 @@ def test_hot_customer_metrics_are_whole(stored):
     assert rows[-1].active_customers == expected
     total = subs.agg(F.sum(F.col("mrr_amount").cast("decimal(18,6)")).cast("double").alias("t")).collect()[0].t
     assert rows[-1].total_mrr == total
+
+
+class _Settings(dict):
+    """A session's settings, none of them made by a user."""
+
+    @property
+    def conf(self):
+        return self
+
+    def set(self, key, value):
+        self[key] = value
+
+
+START = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def test_reducers_start_high_unless_somebody_chose():
+    assert session.configure(_Settings())[START] == "8192"
+    assert session.configure(_Settings(), reducers=99)[START] == "99"
+    for key in (START, "spark.sql.shuffle.partitions"):
+        assert session.configure(_Settings({key: "7"})).get(START) == ("7" if key == START else None)
+
+
+def test_reducers_are_merged_on_small_data(spark, stored):
+    with settings(spark, spark__sql__adaptive__coalescePartitions__initialPartitionNum="512"):
+        counted = stored["subs"].groupBy("customer_id").count()
+        text = final_plan(counted)
+        assert re.search(r"Exchange hashpartitioning\(customer_id#\d+, 512\)", text)
+        assert "AQEShuffleRead coalesced" in text and counted.rdd.getNumPartitions() < 20
+
+
+def test_load_shuffles_twice(spark, tmp_path):
+    lines = [json.dumps({"id": f"i{n}", "customer": "a", "status": "paid", "created": 1}) for n in range(50)]
+    (tmp_path / "part.json").write_text("\n".join(lines))
+    raw = read_landing(spark, "invoices", str(tmp_path))
+    parents = spark.createDataFrame([("a",)], "customer string")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        flat = FLATTEN["invoices"](children_of(raw, parents, "customer"), dt.datetime(2021, 1, 1))
+        rows = keep_first(flat, "invoice_id", [ARRIVAL]).sortWithinPartitions("status", "customer_id")
+        text = plan(rows)
+    # One exchange for each side of the semi join, one for keep-first.
+    assert text.count("Exchange hashpartitioning") == 3 and "rangepartitioning" not in text
