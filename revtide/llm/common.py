@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -19,13 +21,25 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 
 
+@functools.cache
+def _own_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"revtide-{application_id}-")
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder; where a session names none, as in tests, in one of ours."""
+    if not session.scratch_base(spark):
+        spark.conf.set(session.SCRATCH, _own_folder(spark.sparkContext.applicationId))
+    return session.scratch_dir(spark, label)
+
+
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """``rows`` written to the shared scratch folder and read again.
 
     It cuts the lineage: what follows reads files that outlive any executor.
     """
     spark = rows.sparkSession
-    path = session.scratch_dir(spark, label)
+    path = scratch_dir(spark, label)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

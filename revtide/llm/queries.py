@@ -6,7 +6,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revtide import session
 from revtide.llm import decontaminate as op5
 from revtide.llm import language_id as op2
 from revtide.llm import mixing as op8
@@ -17,7 +16,7 @@ from revtide.llm import simhash as op1
 from revtide.llm import token_counts as op9
 from revtide.llm import token_store as op6
 from revtide.llm import warc as op4
-from revtide.llm.common import table
+from revtide.llm.common import scratch_dir, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,7 +34,7 @@ def op3_pii_weak_supervision(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_warc_normaliser(spark: SparkSession, sf: str) -> DataFrame:
-    records = op4.round_trip(table("pages", spark, sf), session.scratch_dir(spark, "warc"))
+    records = op4.round_trip(table("pages", spark, sf), scratch_dir(spark, "warc"))
     return records.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "block_bytes", "intact"
     )
@@ -47,7 +46,7 @@ def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_token_ids_orc(spark: SparkSession, sf: str) -> DataFrame:
-    path = session.scratch_dir(spark, "token-ids")
+    path = scratch_dir(spark, "token-ids")
     op6.write_tokens(table("documents", spark, sf), path, public_tokenizers.path("word_bpe_49k.json"))
     return op6.token_index(spark, path)
 

@@ -1,0 +1,100 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from helpers import awkward, documents
+
+from revtide.llm import language_id as op2
+
+SYLLABLES = {"aa": "the ing ion and er".split(), "bb": "der sch ung ein ich".split(), "cc": "que le eau ent oi".split()}
+
+
+def corpus(n=240):
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        lang = sorted(SYLLABLES)[i % 3]
+        words = ["".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(3, 60))]
+        rows.append((i, " ".join(words), lang, "s"))
+    return rows
+
+
+def slow_bits(texts, text):
+    """Code length of ``text`` after ``texts``, context by context."""
+    counts = {}
+    for t in texts:
+        data = op2.LEAD + t
+        for i in range(op2.ORDER, len(data)):
+            for k in range(op2.ORDER + 1):
+                counts.setdefault(data[i - k : i], Counter())[data[i]] += 1
+    data, total = op2.LEAD + text, 0.0
+    for i in range(op2.ORDER, len(data)):
+        for k in range(op2.ORDER, -1, -1):
+            seen = counts.get(data[i - k : i])
+            if seen is None:
+                continue
+            n, kinds = sum(seen.values()), len(seen)
+            if data[i] in seen:
+                total += math.log2((n + kinds) / seen[data[i]])
+                break
+            total += math.log2((n + kinds) / kinds)
+        else:
+            total += 8
+    return total
+
+
+def test_code_lengths_are_those_of_the_trees(spark):
+    rows = corpus(60)
+    trees = op2.learn(documents(spark, rows), sample=10**6)
+    learned = {lang: [t.encode() for d, t, x, _ in rows if x == lang and zlib.crc32(str(d).encode()) % 4 != 2] for lang in SYLLABLES}
+    texts = [b"the undereau zq", b"x", "é ünd".encode(), rows[7][1].encode()]
+    got = op2.code_lengths(trees, texts)
+    for row, text in zip(got, texts, strict=True):
+        expected = [slow_bits(learned[lang], text) for lang in trees.languages]
+        assert row == pytest.approx(expected, rel=1e-5)
+
+
+def test_blocks_do_not_change_the_sum(spark, monkeypatch):
+    trees = op2.learn(documents(spark, corpus(60)))
+    text = " ".join(r[1] for r in corpus(60)).encode()
+    whole = op2.code_lengths(trees, [text, b"the"])
+    monkeypatch.setattr(op2, "BLOCK", 97)
+    assert op2.code_lengths(trees, [text, b"the"]) == pytest.approx(whole, rel=1e-6)
+
+
+def test_lookup_finds_all_and_only_its_keys():
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 40, 5000, dtype=np.uint64))
+    table = op2.Lookup(keys)
+    table.lost, table.lost_keys  # noqa: B018
+    assert (table.find(keys) == np.arange(len(keys))).all()
+    assert (table.find(np.setdiff1d(keys + np.uint64(1), keys)) == -1).all()
+    assert (op2.Lookup(keys[:0]).find(keys[:5]) == -1).all()
+
+
+def test_held_out_accuracy_and_split(spark):
+    rows = corpus()
+    frame = documents(spark, rows)
+    got = {r.doc_id: r for r in op2.predict(frame, op2.learn(frame, 40)).collect()}
+    out = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    assert {d for d, r in got.items() if r.held_out} == {r[0] for r in out}
+    assert sum(got[r[0]].lang_pred == r[2] for r in out) >= 0.97 * len(out)
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_held_out_labels_are_not_learned(spark):
+    rows = [(d, t, "hidden" if zlib.crc32(str(d).encode()) % 4 == 2 else lang, s) for d, t, lang, s in corpus(60)]
+    assert op2.learn(documents(spark, rows)).languages == ["aa", "bb", "cc"]
+
+
+def test_awkward_rows(spark):
+    frame = awkward(spark)
+    trees = op2.learn(frame)
+    got = op2.predict(frame, trees).collect()
+    assert len(got) == frame.count()
+    assert {r.lang_pred for r in got if r.doc_id in (1, 2, 3)} == {"und"}
+    nothing = op2.learn(frame.limit(0))
+    assert {(r.lang_pred, r.score) for r in op2.predict(frame, nothing).collect()} == {("und", 0.0)}
+    assert op2.predict(frame.limit(0), trees).count() == 0
