@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +110,12 @@ class Canonical:
         return tokens[real], values[real]
 
 
+@cache
+def _canonical() -> Canonical:
+    """A worker's token memory, which its later tasks find again."""
+    return Canonical()
+
+
 def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
     n = len(tokens) - size + 1
     if n < 1:
@@ -140,7 +147,7 @@ def _windows(tokens: np.ndarray, values: np.ndarray, size: int, wanted: np.ndarr
 
 
 def _template_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    canonical = Canonical()
+    canonical = _canonical()
     for batch in batches:
         rows = []
         for item, text in zip(column_values(batch, "item_id"), column_values(batch, "text"), strict=True):
@@ -182,7 +189,7 @@ def template_windows(benchmark: DataFrame) -> DataFrame:
 def _hit_batches(shared, sizes: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
-        canonical = Canonical()
+        canonical = _canonical()
         for batch in batches:
             rows = []
             columns = (column_values(batch, name) for name in ("doc_id", "text_hash", "text"))
