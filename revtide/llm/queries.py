@@ -17,6 +17,7 @@ from revtide.llm import token_counts as op9
 from revtide.llm import token_store as op6
 from revtide.llm import warc as op4
 from revtide.llm.common import scratch_dir, table
+from revtide.llm.oracle import QUALITY, WARC
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,4 +90,4 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op4_warc_normaliser": WARC, "op10_quality_rules": QUALITY}

@@ -1,11 +1,16 @@
 import random
 from collections import Counter
+from pathlib import Path
 
+import duckdb
+import pytest
 from helpers import awkward, documents
 
 import corpus_pipeline
 from revtide.llm.queries import ORACLE, QUERIES
 
+SF = Path("/root/testdata/sf0.001")
+
 
 def corpus():
     rng = random.Random(12)
@@ -57,3 +62,15 @@ def test_every_operator_is_registered():
     numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES)
     assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+@pytest.mark.skipif(not SF.exists(), reason="sample tables not present")
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_against_sql(spark, name):
+    tables = duckdb.connect()
+    for file in SF.glob("*.parquet"):
+        tables.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    result = tables.execute(ORACLE[name])
+    columns = [d[0] for d in result.description]
+    got = QUERIES[name](spark, str(SF)).select(*columns).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(result.fetchall(), key=repr)
