@@ -37,9 +37,17 @@ UNSURE = 32
 _PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 
 
+def piece_lengths(tokenizer: Tokenizer, **options) -> PieceMemory:
+    """Numbers of tokens; a word's first token has its space, written as a G with a dot."""
+    return PieceMemory(
+        tokenizer, lambda ids, cuts: np.diff(cuts).tolist(), lambda token: token[0] == "\u0120", leads=True, **options
+    )
+
+
 @cache
-def _tokenizer(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+def _memory(path: str) -> PieceMemory:
+    """A worker's memory, which its later tasks find again."""
+    return piece_lengths(Tokenizer.from_file(path))
 
 
 def chunk_cuts(tokenizer: Tokenizer, text: str, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,14 +101,18 @@ class Counter:
     """Counts tokens of texts; remembers the pieces of ordinary ones."""
 
     def __init__(self, path: str, huge: int = HUGE, chunk: int = CHUNK, overlap: int = OVERLAP) -> None:
-        self.tokenizer = _tokenizer(path)
+        self.memory = _memory(path)
+        self.tokenizer = self.memory.tokenizer
         self.huge, self.chunk, self.overlap = huge, chunk, overlap
-        self.memory = PieceMemory(self.tokenizer, len)
 
-    def count(self, text: str) -> int:
-        if len(text) > self.huge:
-            return count_in_chunks(self.tokenizer, text, self.chunk, self.overlap)
-        return sum(self.memory.values(_PIECE.findall(text)))
+    def counts(self, texts: list[str]) -> list[int]:
+        """Tokens of each text."""
+        ordinary = (_PIECE.findall(text) for text in texts if len(text) <= self.huge)
+        known = map(sum, self.memory.of_documents(ordinary))
+        return [
+            next(known) if len(text) <= self.huge else count_in_chunks(self.tokenizer, text, self.chunk, self.overlap)
+            for text in texts
+        ]
 
 
 def _count_batches(path: str, options: dict):
@@ -110,7 +122,7 @@ def _count_batches(path: str, options: dict):
             texts = [t or b"" for t in column_values(batch, "text")]
             new = {
                 "n_bytes": pa.array(list(map(len, texts)), pa.int64()),
-                "n_tokens": pa.array([counter.count(t.decode("utf-8", "replace")) for t in texts], pa.int64()),
+                "n_tokens": pa.array(counter.counts([t.decode("utf-8", "replace") for t in texts]), pa.int64()),
             }
             yield with_columns(batch, ["doc_id"], new)
 

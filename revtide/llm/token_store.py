@@ -7,9 +7,9 @@ ranges and Bloom filters in the files' metadata.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,19 +30,32 @@ ORC_OPTIONS = {
     "orc.create.index": "true",
 }
 
-# The tokenizer drops white space and never joins across it.
-_PIECE = re.compile(r"[^\x20\x09-\x0D]+")
+def _piece_bytes(ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    data, places = ids.astype("<u4").tobytes(), (4 * cuts).tolist()
+    return [data[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
+
+
+@cache
+def _memory(path: str) -> PieceMemory:
+    """A worker's memory, which its later tasks find again.  The tokenizer lowers its text and marks words' ends."""
+    return PieceMemory(
+        Tokenizer.from_file(path),
+        _piece_bytes,
+        lambda token: token.endswith("</w>"),
+        leads=False,
+        glue=" ",
+        plain=lambda part: part.lower() if part.isascii() and part.isalpha() else part,
+    )
 
 
 def _encode_batches(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = PieceMemory(Tokenizer.from_file(path), lambda ids: ids.astype("<u4").tobytes())
+        memory = _memory(path)
         stop = np.array([end], "<u4").tobytes()
         for batch in batches:
-            ids = []
-            for text in column_values(batch, "text"):
-                found = _PIECE.findall((text or b"").decode("utf-8", "replace"))
-                ids.append(b"".join(memory.values(found)) + stop)
+            # The tokenizer drops white space and never joins across it.
+            words = ((text or b"").split() for text in column_values(batch, "text"))
+            ids = [b"".join(values) + stop for values in memory.of_documents(words)]
             sizes = np.fromiter((len(x) // 4 for x in ids), np.int32, len(ids))
             offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
             values = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
