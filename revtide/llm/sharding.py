@@ -39,7 +39,7 @@ def fisher_yates(size: Column, *seed: Column) -> Column:
 
 
 def _bucket_orders(sizes: DataFrame, seed: int) -> DataFrame:
-    """``bucket, rank, position``: where the record of each rank of a bucket goes in the whole sequence."""
+    """``bucket, start, order``: where a bucket starts in the sequence, and the place in it of each rank."""
     group = F.floor(F.col("bucket") / GROUPED_BUCKETS)
     grouped = sizes.withColumn("group", group)
     so_far = Window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -49,10 +49,12 @@ def _bucket_orders(sizes: DataFrame, seed: int) -> DataFrame:
     starts = totals.select("group", before.alias("group_start"))
     within = F.sum("size").over(so_far.partitionBy("group").orderBy("bucket")) - F.col("size")
     placed = grouped.withColumn("within", within).join(starts, "group")
-    order = fisher_yates(F.col("size").cast("int"), F.lit(seed), F.col("bucket"))
-    return placed.select(
-        "bucket", (F.col("group_start") + F.col("within")).alias("start"), F.posexplode(order).alias("rank", "to")
-    ).select("bucket", "rank", (F.col("start") + F.col("to")).alias("position"))
+    # The permutations are made by as many tasks as there are reducers.
+    return placed.repartition("bucket").select(
+        "bucket",
+        (F.col("group_start") + F.col("within")).alias("start"),
+        fisher_yates(F.col("size").cast("int"), F.lit(seed), F.col("bucket")).alias("order"),
+    )
 
 
 def shuffled(records: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -73,14 +75,15 @@ def shuffled(records: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_
     each = F.explode(F.sequence(F.lit(1).cast("long"), "_rows")).alias("_repeat")
     bucket = F.pmod(F.xxhash64(F.lit(seed), "_row", "_row2", "_repeat"), F.lit(buckets).cast("long")).alias("bucket")
     sizes = counted.select("_row", "_row2", each).select(bucket).groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    orders = _bucket_orders(stored(sizes, "buckets"), seed).select(
-        F.col("bucket").alias("_bucket"), F.col("rank").alias("_rank"), F.col("position").alias("_position")
-    )
+    # A merge, as the orders grow with the records; both sides lie by bucket already.
+    orders = _bucket_orders(stored(sizes, "buckets"), seed).withColumnRenamed("bucket", "_bucket").hint("merge")
 
     one_each = records.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
     scattered = one_each.select(*names, *keys, each).select(*names, "_row", "_row2", "_repeat", bucket.alias("_bucket"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_row", "_row2", "_repeat")) - 1
-    placed = scattered.withColumn("_rank", rank).join(orders, ["_bucket", "_rank"])
+    placed = scattered.withColumn("_rank", rank).join(
+        orders.select("_bucket", F.col("start").alias("_start"), F.col("order").alias("_order")), "_bucket"
+    ).withColumn("_position", F.col("_start") + F.get("_order", F.col("_rank")))
     shard = F.expr(f"CAST(_position * {shards} DIV {max(total, 1)} AS INT)")
     first = F.expr(f"(CAST(shard AS BIGINT) * {total} + {shards - 1}) DIV {shards}")
     return placed.select(*names, "_position", shard.alias("shard")).select(
