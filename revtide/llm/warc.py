@@ -31,6 +31,8 @@ LEAST_SHARED = 0
 BLOCK = 1 << 20
 #: Records of an index that one task reads.
 RECORDS_PER_READ = 512
+#: More tasks than this are not started for one step.
+MOST_TASKS = 100_000
 LEVEL = 6
 _EPOCH = "2024-01-01T00:00:00Z"
 
@@ -217,6 +219,11 @@ def normalise(source: str, target: str) -> tuple[str, int]:
     return target, len(entries)
 
 
+def _spread(rows: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """Deals out rows that are small but stand for much work; a stated number of tasks is not merged."""
+    return rows.repartition(max(1, min(tasks, MOST_TASKS)), *keys)
+
+
 def _normalise_batches(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,7 +236,7 @@ def _normalise_batches(folder: str):
 def normalise_archives(archives: DataFrame, folder: str) -> DataFrame:
     """Normalises the archives in ``path``, a task each, into ``folder``; returns ``path, records``."""
     small_batches(archives.sparkSession)
-    spread = archives.select("path").repartition(F.xxhash64("path"))
+    spread = _spread(archives.select("path"), archives.count())
     return stored(spread.mapInArrow(_normalise_batches(folder), "path string, records long"), "normalised")
 
 
@@ -293,8 +300,10 @@ def read_records(spark: SparkSession, archives: DataFrame) -> DataFrame:
                         }
                     )
 
-    entries = archives.select("path").mapInArrow(listed, "path string, run long, offset long, length long")
-    runs = entries.repartition("path", "run").sortWithinPartitions("path", "offset")
+    files, records = archives.agg(F.count(F.lit(1)), F.coalesce(F.sum("records"), F.lit(0))).first()
+    ddl = "path string, run long, offset long, length long"
+    entries = _spread(archives.select("path"), files).mapInArrow(listed, ddl)
+    runs = _spread(entries, records // (8 * RECORDS_PER_READ), "path", "run").sortWithinPartitions("path", "offset")
     ddl = (
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
         "block_bytes long, intact boolean"
