@@ -157,10 +157,11 @@ def learn(documents: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Trees:
     labelled = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), utf8("text").alias("text")
     ).filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    share = sizes.select(F.col("lang").alias("of"), (F.lit(float(sample)) / F.col("rows")).alias("share"))
+    # One row per language reaches the driver, and goes back as a constant: no text is shuffled.
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).collect()
+    shares = [F.lit(value) for row in sizes for value in (row["lang"], sample / row["rows"])]
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id"), 11) / F.lit(float(1 << 53))
-    drawn = labelled.join(share, F.col("lang") == F.col("of")).filter(draw < F.col("share"))
+    drawn = labelled.filter(draw < F.element_at(F.create_map(*shares), F.col("lang")) if shares else F.lit(False))
     counted = drawn.select("lang", "text").mapInArrow(_count_batches, "lang string, size long, gram long, n long")
     table = counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(table.lang.unique())
