@@ -1,0 +1,81 @@
+import random
+
+import numpy as np
+import pytest
+from helpers import documents, words
+
+from revtide.llm import near_copies, simhash
+
+
+def shingles(text):
+    found = words((text or "").lower())
+    if len(found) < 5:
+        return {tuple(found)} if found else set()
+    return {tuple(found[i : i + 5]) for i in range(len(found) - 4)}
+
+
+def slow_groups(rows):
+    """Smallest doc_id reachable over pairs of Jaccard similarity 0.8."""
+    sets = {d: shingles(t) for d, t in rows}
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a in sets:
+        for b in sets:
+            if a < b and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: find(d) for d in sets}
+
+
+def corpus():
+    """Copies with changed, added and lost words on either side of the limit, chains, and a shared notice."""
+    rng = random.Random(21)
+    word = lambda: f"w{rng.randint(0, 3000)}"
+    notice = [word() for _ in range(30)]
+    rows = []
+    for _ in range(25):
+        base = [word() for _ in range(rng.randint(3, 200))]
+        for _ in range(6):
+            text = list(base)
+            for _ in range(rng.randint(0, 1 + len(base) // 40)):
+                text[rng.randrange(len(text))] = word()
+            if rng.random() < 0.5:
+                text += [word() for _ in range(rng.randint(0, len(base) // 4))]
+            rows.append((len(rows), " ".join(text)))
+        for _ in range(2):
+            base = base[len(base) // 8 :] + [word() for _ in range(len(base) // 8)]
+            rows.append((len(rows), " ".join(base)))
+    rows += [(len(rows) + i, " ".join([*notice, *(word() for _ in range(20))])) for i in range(40)]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_copies_with_changed_words_leave_one(spark):
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 900)}" for _ in range(200)]
+    changed = [w if i not in (30, 90, 150) else "changed" for i, w in enumerate(base)]
+    other = [w if i % 12 else "changed" for i, w in enumerate(base)]
+    rows = [(5, " ".join(base)), (2, " ".join(changed)), (9, " ".join(other))]
+    prints = [simhash.fingerprint(t.encode()) for _, t in rows]
+    assert (prints[0] ^ prints[1]).bit_count() > simhash.RADIUS
+    assert sorted(r.doc_id for r in simhash.one_of_each(documents(spark, rows)).collect()) == [2, 9]
+
+
+def test_components_against_all_pairs(spark):
+    rows = corpus()
+    expected = slow_groups(rows)
+    assert 40 < len(set(expected.values())) < len(rows)
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(documents(spark, rows)).collect()}
+    assert got == expected
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 9, 10, 100])
+def test_prefix_length(n):
+    counts = np.zeros(1 << near_copies.COUNT_BITS, np.int64)
+    values = np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64)
+    assert len(near_copies.prefix(values, counts)) == n - -(-8 * n // 10) + 1
