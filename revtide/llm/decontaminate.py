@@ -155,8 +155,9 @@ def _template_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             if len(tokens) >= LEAST_TOKENS:
                 size = min(WINDOW, len(tokens))
                 key = xxhash.xxh64_intdigest(tokens.tobytes()) - (1 << 63)
+                vector = xxhash.xxh64_intdigest(values.tobytes()) - (1 << 63)
                 rows += [
-                    {"item_id": item, "template": key, "n_tokens": len(tokens), "size": size, "at": a, "hash": h, "values": v}
+                    {"item_id": item, "template": key, "vector": vector, "n_tokens": len(tokens), "size": size, "at": a, "hash": h, "values": v}
                     for a, h, v in _windows(tokens, values, size, None)
                 ]
         yield pa.RecordBatch.from_pylist(rows, _TEMPLATE)
@@ -164,7 +165,7 @@ def _template_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 _TEMPLATE = pa.schema(
     [
-        *((name, pa.int64()) for name in ("item_id", "template", "n_tokens", "size", "at", "hash")),
+        *((name, pa.int64()) for name in ("item_id", "template", "vector", "n_tokens", "size", "at", "hash")),
         ("values", pa.list_(pa.int64())),
     ]
 )
@@ -172,18 +173,24 @@ _HIT = pa.schema([*((name, pa.int64()) for name in ("doc_id", "text_hash", "at",
 
 
 def template_windows(benchmark: DataFrame) -> DataFrame:
-    """Windows of the questions, ``item_id, template, n_tokens, size, at, hash, values``.
+    """Windows of the questions, ``template, vector, item_id, named, n_tokens, size, at, hash, values``.
 
-    Questions with the same template are one, named by the smallest item_id.
+    Questions with the same template are one, named by the smallest item_id;
+    every distinct vector of values that they put into it stays, and ``named``
+    marks the one of the named question.
     """
     rows = benchmark.filter("item_id IS NOT NULL").select(
         F.col("item_id").cast("long").alias("item_id"), utf8("text").alias("text")
     )
-    ddl = "item_id long, template long, n_tokens long, size long, at long, hash long, `values` array<long>"
-    windows = rows.mapInArrow(_template_batches, ddl)
-    # The values of the named question stand for the template.
-    first = windows.groupBy("template").agg(F.min("item_id").alias("item_id"))
-    return windows.join(first, ["template", "item_id"]).distinct()
+    ddl = (
+        "item_id long, template long, vector long, n_tokens long, size long, at long, hash long, `values` array<long>"
+    )
+    windows = stored(rows.mapInArrow(_template_batches, ddl), "windows")
+    first = windows.groupBy("template").agg(
+        F.min("item_id").alias("item_id"), F.min_by("vector", F.struct("item_id", "vector")).alias("named_vector")
+    )
+    distinct = windows.drop("item_id").distinct().join(first, "template")
+    return distinct.withColumn("named", F.col("vector") == F.col("named_vector")).drop("named_vector")
 
 
 def _hit_batches(shared, sizes: list[int]):
@@ -208,9 +215,10 @@ def _hit_batches(shared, sizes: list[int]):
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, covered, n_tokens, same_values`` per document and question found in it.
 
-    ``covered`` counts the question's tokens in windows that line up;
-    ``same_values`` tells a literal copy from a re-parameterised one.  Questions
-    with one template are reported under the smallest item_id.  Null and empty
+    ``covered`` counts the question's tokens in windows that line up.  Questions
+    with one template are reported under the smallest item_id, whichever of them
+    has the values that agree; ``same_values`` tells a literal copy of that named
+    question from others.  Null and empty
     texts and questions hold nothing; rows with a null doc_id are reported with
     it, and rows that repeat doc_id and text once.  Either table may be empty.
     """
@@ -231,19 +239,16 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     ddl = "doc_id long, text_hash long, at long, hash long, `values` array<long>"
     hits = rows.mapInArrow(_hit_batches(shared, sorted(sizes)), ddl)
-    theirs = templates.select(
-        "item_id", "n_tokens", "size", "hash", F.col("at").alias("item_at"), F.col("values").alias("item_values")
-    )
+    item = ["template", "vector", "item_id", "named", "n_tokens", "size"]
+    theirs = templates.select(*item, "hash", F.col("at").alias("item_at"), F.col("values").alias("item_values"))
     met = hits.join(theirs, "hash").filter(F.size("values") == F.size("item_values"))
-    lined_up = met.groupBy(
-        "doc_id", "text_hash", "item_id", "n_tokens", "size", (F.col("at") - F.col("item_at")).alias("shift")
-    ).agg(
+    lined_up = met.groupBy("doc_id", "text_hash", *item, (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set("item_at").alias("starts"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_values", "values")))).alias("pairs"),
     )
     one_each = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.item_values")))
-    same = ~F.exists("pairs", lambda p: p["item_values"] != p["values"])
-    found = lined_up.filter(one_each).groupBy("doc_id", "text_hash", "item_id", "n_tokens", "size").agg(
+    same = F.col("named") & ~F.exists("pairs", lambda p: p["item_values"] != p["values"])
+    found = lined_up.filter(one_each).groupBy("doc_id", "text_hash", *item).agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("starts")))).alias("starts"),
         F.bool_or(same).alias("same_values"),
     )
@@ -254,7 +259,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     covered = found.withColumn("covered", steps)
     enough = (F.col("covered") >= COVERED_TOKENS) | (F.col("covered") >= F.col("n_tokens") * COVERED_SHARE)
-    return covered.filter(enough).select("doc_id", "text_hash", "item_id", "covered", "n_tokens", "same_values")
+    # A template is there if the values of any of its questions agree.
+    return covered.filter(enough).groupBy("doc_id", "text_hash", "template", "item_id", "n_tokens").agg(
+        F.max("covered").alias("covered"), F.bool_or("same_values").alias("same_values")
+    ).select("doc_id", "text_hash", "item_id", "covered", "n_tokens", "same_values")
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

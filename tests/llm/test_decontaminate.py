@@ -54,6 +54,15 @@ def test_slots_that_agree_by_position_only(spark):
     assert set(found(spark, docs, [(1, item)])) == {(1, 1)}
 
 
+def test_each_question_of_a_template_is_found(spark):
+    ask = "A shop sells {} apples and {} pears to every guest who comes in before the bell rings"
+    items = [(1, ask.format(2, 2)), (2, ask.format(3, 4))]
+    docs = [(1, ask.format(3, 4)), (2, ask.format(2, 2)), (3, ask.format(7, 7)), (4, ask.format(7, 8))]
+    assert found(spark, docs, items) == {(1, 1): False, (2, 1): True, (3, 1): False, (4, 1): False}
+    # A vector that repeats a value does not take what only the other allows.
+    assert set(found(spark, docs, items[:1])) == {(2, 1), (3, 1)}
+
+
 def test_awkward_rows(spark):
     frame = awkward(spark)
     items = benchmark(spark, [(1, None), (2, ""), (3, "too short"), (None, "same text of several words"), (5, "same text of several words"), (5, "same text of several words")])
