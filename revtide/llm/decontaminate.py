@@ -5,6 +5,10 @@ a template.  Windows of template tokens are hashed and joined.  Where windows of
 a document and a template line up, the values in the placeholders are compared:
 a value of the question must stand for one value of the document throughout.  A
 re-parameterised question passes, a chance mixture of values does not.
+
+Windows of mostly placeholders, and questions of fewer than five tokens, say too
+little as templates.  They are joined as they stand, with their values and the
+signs between them.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 from revtide.llm.common import column_values, small_batches, stored, utf8
 
 WINDOW = 8
-#: Shorter questions cannot be told from chance and are never reported.
+#: Shorter questions are no templates; only their literal text is searched.
 LEAST_TOKENS = 5
 #: A question counts as present if aligned windows cover this share of its
 #: tokens, or this many tokens.
@@ -65,6 +69,7 @@ class Canonical:
         self.number: dict[str, int] = {}
         self.hashes = np.zeros(1 << 12, np.uint64)
         self.values = np.zeros(1 << 12, np.uint64)
+        self.signs = np.zeros(1 << 12, np.uint64)
         self.capital = np.zeros(1 << 12, bool)
         self.ends = np.zeros(1 << 12, bool)
 
@@ -82,16 +87,18 @@ class Canonical:
             row = (_hash(low), 0, core[0].isupper() and core[1:].islower())
         self.number[raw] = place = len(self.number)
         if place == len(self.hashes):
-            for name in ("hashes", "values", "capital", "ends"):
+            for name in ("hashes", "values", "signs", "capital", "ends"):
                 setattr(self, name, np.concatenate([getattr(self, name)] * 2))
         self.hashes[place], self.values[place], self.capital[place] = row
+        self.signs[place] = 0 if core else _hash(raw)
         self.ends[place] = raw.rstrip("\"')]»”’")[-1:] in (".", "?", "!", ":")
         return place
 
-    def tokens(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """Token hashes, and values of the placeholders (0 elsewhere).
+    def tokens(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token hashes, values of the placeholders (0 elsewhere), and the signs before each token.
 
-        A capitalised word is a name unless it starts a sentence.
+        A capitalised word is a name unless it starts a sentence.  Words without
+        a letter or digit are no tokens but signs.
         """
         raw = (text or b"").decode("utf-8", "replace").split()
         known, add = self.number.get, self._add
@@ -99,7 +106,7 @@ class Canonical:
         if None in places:
             places = [add(word) if (k := known(word)) is None else k for word in raw]
         at = np.array(places, np.int64)
-        tokens, values = self.hashes[at], self.values[at]
+        tokens, values, signs = self.hashes[at], self.values[at], self.signs[at]
         starts = np.concatenate(([True], self.ends[at[:-1]])) if len(at) else np.zeros(0, bool)
         names = self.capital[at] & ~starts
         values = np.where(names, tokens, values)
@@ -107,7 +114,8 @@ class Canonical:
         if len(self.number) > MEMORY:
             self.clear()
         real = tokens != 0
-        return tokens[real], values[real]
+        signs = np.diff(np.cumsum(signs, dtype=np.uint64)[real], prepend=np.uint64(0))
+        return tokens[real], values[real], signs
 
 
 @cache
@@ -127,45 +135,88 @@ def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def literal_hashes(tokens: np.ndarray, values: np.ndarray, signs: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of windows as they stand: values in their places, signs between tokens."""
+    n = len(tokens) - size + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    bare = np.where(values != 0, values, tokens)
+    out = np.full(n, ~np.uint64(size), np.uint64)
+    for k in range(size):
+        token = bare[k : n + k] ^ (signs[k : n + k] * _MIX) if k else bare[:n]
+        out = (out ^ token) * _MIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
 def _wordy(values: np.ndarray, size: int) -> np.ndarray:
     """Windows of which at least half the tokens are plain words."""
     plain = np.concatenate(([0], np.cumsum(values == 0)))
     return 2 * (plain[size:] - plain[:-size]) >= size
 
 
+def _marked(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    return wanted[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+
+
 def _windows(tokens: np.ndarray, values: np.ndarray, size: int, wanted: np.ndarray | None):
-    """Start, hash and placeholder values of each window that counts."""
+    """Start, hash and placeholder values of each window that counts as a template."""
     hashes = window_hashes(tokens, size)
     if not len(hashes):
         return
     good = _wordy(values, size)
     if wanted is not None:
-        good &= wanted[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+        good &= _marked(hashes, wanted)
     for at in np.flatnonzero(good).tolist():
         inside = values[at : at + size]
         yield at, int(hashes[at].view(np.int64)), inside[inside != 0].view(np.int64).tolist()
 
 
+def _literal_windows(tokens, values, signs, size: int, wanted: np.ndarray | None):
+    """Start, hash and no values: of a question the windows that are no templates, of a document all that are wanted."""
+    hashes = literal_hashes(tokens, values, signs, size)
+    if not len(hashes):
+        return
+    if wanted is not None:
+        good = _marked(hashes, wanted)
+    else:
+        good = ~_wordy(values, size) | (size < LEAST_TOKENS)
+    for at in np.flatnonzero(good).tolist():
+        yield at, int(hashes[at].view(np.int64)), []
+
+
 def _template_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     canonical = _canonical()
     for batch in batches:
         rows = []
         for item, text in zip(column_values(batch, "item_id"), column_values(batch, "text"), strict=True):
-            tokens, values = canonical.tokens(text)
-            if len(tokens) >= LEAST_TOKENS:
-                size = min(WINDOW, len(tokens))
-                key = xxhash.xxh64_intdigest(tokens.tobytes()) - (1 << 63)
-                vector = xxhash.xxh64_intdigest(values.tobytes()) - (1 << 63)
-                rows += [
-                    {"item_id": item, "template": key, "vector": vector, "n_tokens": len(tokens), "size": size, "at": a, "hash": h, "values": v}
-                    for a, h, v in _windows(tokens, values, size, None)
-                ]
+            tokens, values, signs = canonical.tokens(text)
+            if not len(tokens):
+                continue
+            size = min(WINDOW, len(tokens))
+            short = size < LEAST_TOKENS
+            # A short question is its literal text.
+            key = xxhash.xxh64_intdigest((literal_hashes(tokens, values, signs, size) if short else tokens).tobytes())
+            vector = xxhash.xxh64_intdigest(values.tobytes() + signs[1:].tobytes())
+            item_row = {
+                "item_id": item, "template": key - (1 << 63), "vector": vector - (1 << 63), "n_tokens": len(tokens), "size": size,
+            }
+            both = (
+                (False, () if short else _windows(tokens, values, size, None)),
+                (True, _literal_windows(tokens, values, signs, size, None)),
+            )
+            rows += [
+                item_row | {"literal": literal, "at": a, "hash": h, "values": v}
+                for literal, windows in both
+                for a, h, v in windows
+            ]
         yield pa.RecordBatch.from_pylist(rows, _TEMPLATE)
 
 
 _TEMPLATE = pa.schema(
     [
         *((name, pa.int64()) for name in ("item_id", "template", "vector", "n_tokens", "size", "at", "hash")),
+        ("literal", pa.bool_()),
         ("values", pa.list_(pa.int64())),
     ]
 )
@@ -173,7 +224,7 @@ _HIT = pa.schema([*((name, pa.int64()) for name in ("doc_id", "text_hash", "at",
 
 
 def template_windows(benchmark: DataFrame) -> DataFrame:
-    """Windows of the questions, ``template, vector, item_id, named, n_tokens, size, at, hash, values``.
+    """Windows of the questions, ``template, vector, item_id, named, n_tokens, size, at, hash, literal, values``.
 
     Questions with the same template are one, named by the smallest item_id;
     every distinct vector of values that they put into it stays, and ``named``
@@ -183,7 +234,8 @@ def template_windows(benchmark: DataFrame) -> DataFrame:
         F.col("item_id").cast("long").alias("item_id"), utf8("text").alias("text")
     )
     ddl = (
-        "item_id long, template long, vector long, n_tokens long, size long, at long, hash long, `values` array<long>"
+        "item_id long, template long, vector long, n_tokens long, size long, at long, hash long, literal boolean, "
+        "`values` array<long>"
     )
     windows = stored(rows.mapInArrow(_template_batches, ddl), "windows")
     first = windows.groupBy("template").agg(
@@ -193,7 +245,7 @@ def template_windows(benchmark: DataFrame) -> DataFrame:
     return distinct.withColumn("named", F.col("vector") == F.col("named_vector")).drop("named_vector")
 
 
-def _hit_batches(shared, sizes: list[int]):
+def _hit_batches(shared, sizes: list[tuple[int, bool]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
         canonical = _canonical()
@@ -201,12 +253,14 @@ def _hit_batches(shared, sizes: list[int]):
             rows = []
             columns = (column_values(batch, name) for name in ("doc_id", "text_hash", "text"))
             for doc, key, text in zip(*columns, strict=True):
-                tokens, values = canonical.tokens(text)
-                for size in sizes:
-                    rows += [
-                        {"doc_id": doc, "text_hash": key, "at": a, "hash": h, "values": v}
-                        for a, h, v in _windows(tokens, values, size, wanted)
-                    ]
+                tokens, values, signs = canonical.tokens(text)
+                for size, literal in sizes:
+                    windows = (
+                        _literal_windows(tokens, values, signs, size, wanted)
+                        if literal
+                        else _windows(tokens, values, size, wanted)
+                    )
+                    rows += [{"doc_id": doc, "text_hash": key, "at": a, "hash": h, "values": v} for a, h, v in windows]
             yield pa.RecordBatch.from_pylist(rows, _HIT)
 
     return run
@@ -218,14 +272,16 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``covered`` counts the question's tokens in windows that line up.  Questions
     with one template are reported under the smallest item_id, whichever of them
     has the values that agree; ``same_values`` tells a literal copy of that named
-    question from others.  Null and empty
+    question from others.  Questions under five tokens, down to one word, and
+    windows of mostly numbers, names and units are found as literal text only.  Null and empty
     texts and questions hold nothing; rows with a null doc_id are reported with
     it, and rows that repeat doc_id and text once.  Either table may be empty.
     """
     spark = documents.sparkSession
     small_batches(spark)
     templates = stored(template_windows(benchmark), "templates")
-    sizes = [row[0] for row in templates.select("size").distinct().collect()]  # 5 to 8
+    # Sizes 5 to 8 of templates, 1 to 8 of literal windows.
+    sizes = [tuple(row) for row in templates.select("size", "literal").distinct().collect()]
     # At most 2^22 addresses, whatever the benchmark.
     marks = templates.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("k")).distinct().toPandas().k
     wanted = np.zeros(1 << FILTER_BITS, bool)

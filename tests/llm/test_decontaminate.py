@@ -63,6 +63,21 @@ def test_each_question_of_a_template_is_found(spark):
     assert set(found(spark, docs, items[:1])) == {(2, 1), (3, 1)}
 
 
+def test_questions_of_numbers_and_short_ones_are_found_literally(spark):
+    rng = random.Random(6)
+    items = [
+        (1, "12 + 7 * 31 - 4 = ?"), (2, "Convert 5 kg 300 g to 11 lb 9 oz and 40 g"), (3, "Who wrote Faust?"),
+        (4, "Name the rivers: Rhine Elbe Oder Danube Main Neckar Weser Mosel Inn Isar Lech Spree Havel Saale"),
+    ]
+    docs = [(10 + i, f"{prose(rng, 20)} {text} {prose(rng, 20)}") for i, text in items]
+    docs += [
+        (20, f"{prose(rng, 20)} 12 / 7 * 31 - 4 = ? {prose(rng, 20)}"), (21, f"{prose(rng, 20)} 13 + 7 * 31 - 4 = ?"),
+        (22, "somebody wrote Faust? nobody knows who"), (23, "Rhine Oder Elbe Main Danube Weser Neckar Inn Mosel Lech Isar"),
+    ]
+    got = found(spark, docs, items)
+    assert set(got) == {(10 + i, i) for i, _ in items} and all(got.values())
+
+
 def test_awkward_rows(spark):
     frame = awkward(spark)
     items = benchmark(spark, [(1, None), (2, ""), (3, "too short"), (None, "same text of several words"), (5, "same text of several words"), (5, "same text of several words")])
