@@ -53,7 +53,9 @@ def op6_token_ids_orc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_two_pass_sharding(spark: SparkSession, sf: str) -> DataFrame:
-    placed = op7.shuffled(op7.digests(table("documents", spark, sf)))
+    documents, path = table("documents", spark, sf), scratch_dir(spark, "shards")
+    op7.write_shards(documents, path)
+    placed = op7.digests(op7.read_shards(documents, path), "shard", "slot")
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),

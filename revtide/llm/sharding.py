@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revtide.llm.common import row_hash, stored
 
@@ -19,6 +20,8 @@ SEED = 20240611
 SHARDS = 16
 #: Records of a bucket, on average.
 BUCKET_ROWS = 512
+#: Bytes of text of a bucket, on average; long records make more buckets.
+BUCKET_BYTES = 1 << 26
 #: Buckets of a group whose sizes are summed in one task.
 GROUPED_BUCKETS = 4096
 
@@ -57,7 +60,20 @@ def _bucket_orders(sizes: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def shuffled(records: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def _text_bytes(records: DataFrame) -> Column:
+    """Bytes of a record's strings."""
+    fields = (f for f in records.schema.fields if f.dataType.simpleString() in ("string", "binary"))
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long") for f in fields]
+    return sum(lengths, F.lit(0).cast("long"))
+
+
+def shuffled(
+    records: DataFrame,
+    shards: int = SHARDS,
+    seed: int = SEED,
+    bucket_rows: int = BUCKET_ROWS,
+    bucket_bytes: int = BUCKET_BYTES,
+) -> DataFrame:
     """The records with ``shard`` and ``slot``; slots of a shard count from 0 without gaps.
 
     Numbers of records differ by one at most between shards.  Rows alike in all
@@ -69,9 +85,14 @@ def shuffled(records: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_
     records = records.drop("shard", "slot")
     names = [F.col(f"`{name}`") for name in records.columns]
     keys = [row_hash(records).alias("_row"), row_hash(records, 1).alias("_row2")]
-    counted = stored(records.select(*keys).groupBy("_row", "_row2").agg(F.count(F.lit(1)).alias("_rows")), "rows")
-    total = counted.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
-    buckets = max(1, -(-total // bucket_rows))
+    counted = stored(
+        records.select(*keys, _text_bytes(records).alias("_bytes")).groupBy("_row", "_row2").agg(
+            F.count(F.lit(1)).alias("_rows"), F.sum("_bytes").alias("_bytes")
+        ),
+        "rows",
+    )
+    total, size = counted.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.sum("_bytes"), F.lit(0))).first()
+    buckets = max(1, -(-total // bucket_rows), -(-size // bucket_bytes))
     each = F.explode(F.sequence(F.lit(1).cast("long"), "_rows")).alias("_repeat")
     bucket = F.pmod(F.xxhash64(F.lit(seed), "_row", "_row2", "_repeat"), F.lit(buckets).cast("long")).alias("bucket")
     sizes = counted.select("_row", "_row2", each).select(bucket).groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
@@ -97,11 +118,19 @@ def write_shards(records: DataFrame, path: str, **options) -> None:
     placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
-def digests(documents: DataFrame) -> DataFrame:
-    """``doc_id, size, text_crc32``; a null text has size 1 and the checksum of nothing."""
+def read_shards(records: DataFrame, path: str) -> DataFrame:
+    """The shards that ``write_shards`` made of ``records``, with ``shard`` and ``slot``."""
+    kept = [f for f in records.schema.fields if f.name not in ("shard", "slot")]
+    schema = T.StructType([*kept, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])
+    return records.sparkSession.read.schema(schema).parquet(path)
+
+
+def digests(documents: DataFrame, *more: str) -> DataFrame:
+    """``doc_id, size, text_crc32`` and the named columns; a null text has size 1 and the checksum of nothing."""
     text = F.col("text").cast("string")
     return documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        *more,
     )

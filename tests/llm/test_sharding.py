@@ -76,6 +76,35 @@ def test_written_shards(spark, tmp_path):
     assert {r.shard for r in back.collect()} == {0, 1, 2, 3}
 
 
+def test_query_takes_digests_from_written_shards(spark, tmp_path, monkeypatch):
+    frame = documents(spark, [(i, f"text {i} " * 50) for i in range(300)])
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    paths, write = [], sharding.write_shards
+
+    def noted(records, path, **options):
+        paths.append(path)
+        write(records, path, **options)
+
+    monkeypatch.setattr(sharding, "write_shards", noted)
+    rows = QUERIES["op7_two_pass_sharding"](spark, str(tmp_path)).collect()
+    back = spark.read.parquet(paths[0])
+    assert set(back.columns) == {*frame.columns, "shard", "slot"}
+    assert {(r.doc_id, r.text) for r in back.collect()} == {(r.doc_id, r.text) for r in frame.collect()}
+    place = {r.doc_id: (r.shard, r.slot) for r in back.collect()}
+    assert {r.doc_id: (r.shard, r.slot) for r in rows} == place
+    write(frame.limit(0), f"{tmp_path}/empty")
+    assert sharding.read_shards(frame, f"{tmp_path}/empty").count() == 0
+
+
+def test_long_records_make_more_buckets(spark, monkeypatch):
+    sizes, orders = [], sharding._bucket_orders
+    monkeypatch.setattr(sharding, "_bucket_orders", lambda s, seed: sizes.append(s.count()) or orders(s, seed))
+    frame = documents(spark, [(i, "long " * 2000) for i in range(200)])
+    assert sharding.shuffled(frame, bucket_bytes=100_000).count() == 200
+    assert sharding.shuffled(frame).count() == 200
+    assert 15 <= sizes[0] <= 21 and sizes[1] == 1
+
+
 def test_awkward_rows(spark):
     frame = awkward(spark)
     got = sharding.shuffled(frame)
