@@ -33,7 +33,7 @@ PATTERNS = {
     "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # Candidates; the candidate is the whole match.
-    "secret": r"(?<![A-Za-z0-9_])[A-Za-z0-9_+/=-]{20,256}+",
+    "secret": r"(?<![A-Za-z0-9_])[A-Za-z0-9_+/=-]{20,}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3}+)?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "person": r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}{1,20}+\x20\p{Lu}\p{Ll}{1,20}+(?![\p{L}\p{N}])",
@@ -143,7 +143,7 @@ def _candidates(kind: str, spans: str, text: str) -> Column:
     features = ", ".join(
         f"concat('{name}:{kind}:', {value})"
         for name, value in (
-            ("length", "least(x.end - x.start, 63) DIV 4"),
+            ("length", "CASE WHEN x.end - x.start < 64 THEN (x.end - x.start) DIV 4 ELSE 10 + floor(log2(x.end - x.start)) END"),
             ("shape", f"pmod(xxhash64({shape}), {_BUCKETS})"),
             ("word", f"pmod(xxhash64({last_word}), {_BUCKETS})"),
             ("left", f"CASE WHEN x.start = 0 THEN 'none' WHEN {left} RLIKE '\\\\s' THEN 'space' WHEN {left} RLIKE '[\"=:\\']' THEN 'mark' ELSE 'other' END"),

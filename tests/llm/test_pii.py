@@ -110,3 +110,13 @@ def test_awkward_rows(spark):
     assert len(got) == frame.count()
     assert {r.spans for r in got if r.doc_id in (1, 2, 3)} == {""}
     assert pii.digests(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [40, 300, 5_000])
+def test_long_secrets_are_one_span(spark, n):
+    rng = random.Random(n)
+    secret = "eyJ0" + "".join(rng.choices("abcdefABCDEF0123456789_+/=-", k=n - 5)) + "9"
+    found = pii.search(documents(spark, [(1, f"the token {secret} ends here")])).first().candidates
+    assert [(c.start, c.end) for c in found if c.kind == "secret"] == [(10, 10 + n)]
+    lengths = [f for c in found for f in c.features if f.startswith("length:secret")]
+    assert lengths == [f"length:secret:{n // 4 if n < 64 else 10 + n.bit_length() - 1}"]
