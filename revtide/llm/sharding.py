@@ -99,12 +99,14 @@ def shuffled(
     # A merge, as the orders grow with the records; both sides lie by bucket already.
     orders = _bucket_orders(stored(sizes, "buckets"), seed).withColumnRenamed("bucket", "_bucket").hint("merge")
 
-    one_each = records.groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
-    scattered = one_each.select(*names, *keys, each).select(*names, "_row", "_row2", "_repeat", bucket.alias("_bucket"))
+    # Places are given to hashes; the records themselves travel once, each repeated one as a single row.
+    scattered = counted.select("_row", "_row2", each).select("_row", "_row2", "_repeat", bucket.alias("_bucket"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_row", "_row2", "_repeat")) - 1
-    placed = scattered.withColumn("_rank", rank).join(
+    places = scattered.withColumn("_rank", rank).join(
         orders.select("_bucket", F.col("start").alias("_start"), F.col("order").alias("_order")), "_bucket"
-    ).withColumn("_position", F.col("_start") + F.get("_order", F.col("_rank")))
+    ).select("_row", "_row2", (F.col("_start") + F.get("_order", F.col("_rank"))).alias("_position"))
+    one_each = records.select(*names, *keys).dropDuplicates(["_row", "_row2"])
+    placed = one_each.join(places.hint("merge"), ["_row", "_row2"])
     shard = F.expr(f"CAST(_position * {shards} DIV {max(total, 1)} AS INT)")
     first = F.expr(f"(CAST(shard AS BIGINT) * {total} + {shards - 1}) DIV {shards}")
     return placed.select(*names, "_position", shard.alias("shard")).select(
@@ -115,7 +117,9 @@ def shuffled(
 def write_shards(records: DataFrame, path: str, **options) -> None:
     """Shuffled records as Parquet, a folder per shard, files in slot order."""
     placed = shuffled(records, **options)
-    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").option(
+        "compression", "zstd"
+    ).parquet(path)
 
 
 def read_shards(records: DataFrame, path: str) -> DataFrame:
