@@ -44,6 +44,11 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns by name, whatever characters the names have."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def utf8(column: str) -> Column:
     """The bytes of a text column, null kept."""
     return F.col(column).cast("string").cast("binary")
@@ -53,7 +58,7 @@ def row_hash(rows: DataFrame, seed: int = 0) -> Column:
     """Hash of all columns of a row; rows alike in everything have the same."""
     values = []
     for field in rows.schema.fields:
-        value = F.col(f"`{field.name}`")
+        (value,) = quoted([field.name])
         hashable = not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
         values.append(value if hashable else F.to_json(F.struct(value)))
     return F.xxhash64(F.lit(seed), *values)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import column_values, small_batches, stored, utf8
+from revtide.llm.common import column_values, quoted, small_batches, stored, utf8
 
 WINDOW = 8
 #: Shorter questions are no templates; only their literal text is searched.
@@ -326,7 +326,7 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Rows without a doc_id are judged by their text alone.
     """
-    names = documents.columns
+    names = quoted(documents.columns)
     found = leaks(documents, benchmark).select(
         F.coalesce("doc_id", F.lit(-1)).alias("_leak_id"), F.col("text_hash").alias("_leak_text")
     ).distinct()

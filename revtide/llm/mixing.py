@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revtide.llm.common import row_hash, stored
+from revtide.llm.common import quoted, row_hash, stored
 
 SEED = 20240607
 #: Entropy of the weights, as a share of that of equal weights.
@@ -191,11 +191,11 @@ def mix(
 
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     """The documents of the stream, each as often as it is drawn, columns as they are."""
-    names = documents.columns
+    names = quoted(documents.columns)
     drawn = mix(documents, **options).groupBy("row").agg(F.count(F.lit(1)).alias("_drawn"))
     # Rows of one hash are alike in everything, so one of them stands for all.
     one_each = documents.withColumn("_row", row_hash(documents)).dropDuplicates(["_row"])
     joined = one_each.join(drawn.withColumnRenamed("row", "_row"), "_row")
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_drawn"))).select(
-        *[F.col(f"`{name}`") for name in names]
+        *names
     )

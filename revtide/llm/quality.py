@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtide.llm.common import column_values, small_batches, stored, utf8, with_columns
+from revtide.llm.common import column_values, quoted, small_batches, stored, utf8, with_columns
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -167,7 +167,7 @@ def kept_documents(documents: DataFrame, host: str = "source", **limits) -> Data
 
     Columns stay as they are; ``n_chars``, where there is one, follows the text.
     """
-    names = documents.columns
+    names = quoted(documents.columns)
     verdicts = quality(documents, host, **limits).filter("kept").select(
         F.col("host").alias("_kept_host"), F.col("text_hash").alias("_kept_text"), F.col("over_lines").alias("_over")
     ).dropDuplicates(["_kept_host", "_kept_text"])
@@ -178,6 +178,6 @@ def kept_documents(documents: DataFrame, host: str = "source", **limits) -> Data
     touched = F.col("_over").isNotNull()
     untouched = joined.filter(~touched).select(*names)
     changed = joined.filter(touched).withColumn("text", without_lines(utf8("text"), F.col("_over")))
-    if "n_chars" in names:
+    if "n_chars" in documents.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return untouched.union(changed.select(*names))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revtide.llm.common import row_hash, stored
+from revtide.llm.common import quoted, row_hash, stored
 
 SEED = 20240611
 SHARDS = 16
@@ -63,7 +63,7 @@ def _bucket_orders(sizes: DataFrame, seed: int) -> DataFrame:
 def _text_bytes(records: DataFrame) -> Column:
     """Bytes of a record's strings."""
     fields = (f for f in records.schema.fields if f.dataType.simpleString() in ("string", "binary"))
-    lengths = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long") for f in fields]
+    lengths = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in quoted(f.name for f in fields)]
     return sum(lengths, F.lit(0).cast("long"))
 
 
@@ -83,7 +83,7 @@ def shuffled(
     Columns named ``shard`` or ``slot`` are replaced.
     """
     records = records.drop("shard", "slot")
-    names = [F.col(f"`{name}`") for name in records.columns]
+    names = quoted(records.columns)
     keys = [row_hash(records).alias("_row"), row_hash(records, 1).alias("_row2")]
     counted = stored(
         records.select(*keys, _text_bytes(records).alias("_bytes")).groupBy("_row", "_row2").agg(

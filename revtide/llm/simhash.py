@@ -22,9 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revtide.llm.common import column_values, small_batches, stored, utf8, with_columns
+from revtide.llm.common import column_values, quoted, small_batches, stored, utf8, with_columns
 from revtide.llm.components import connected_components
-from revtide.llm.near_copies import SIMILAR_PERCENT, near_copies
 
 BITS = 64
 SHINGLE = 3
@@ -406,16 +405,15 @@ def near_duplicates(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     return rows.join(ids, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
-def one_of_each(documents: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
+def one_of_each(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The documents without near copies: of each component the row with its id.
 
-    Near copies are texts whose sets of five-word shingles have that Jaccard
-    similarity or more, which fingerprints of a few differing bits would miss.
-    Columns are kept as they are.  Of rows that repeat doc_id and text one
-    stays; rows without a doc_id stay, as nothing names them.
+    Near copies are what ``near_duplicates`` links.  Columns are kept as they
+    are.  Of rows that repeat doc_id and text one stays; rows without a doc_id
+    stay, as nothing names them.
     """
-    names = documents.columns
-    kept = near_copies(documents, percent).filter("doc_id = component_id").select(
+    names = quoted(documents.columns)
+    kept = near_duplicates(documents, radius).filter("doc_id = component_id").select(
         F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_text")
     ).distinct()
     marked = documents.withColumn("_kept_text", F.xxhash64(F.col("text").cast("string"))).withColumn(

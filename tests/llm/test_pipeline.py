@@ -74,3 +74,12 @@ def test_queries_against_sql(spark, name):
     columns = [d[0] for d in result.description]
     got = QUERIES[name](spark, str(SF)).select(*columns).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(result.fetchall(), key=repr)
+
+
+def test_column_names_with_dots_and_quotes(spark, tmp_path):
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = documents(spark, corpus()[0][:8]).selectExpr("*", "1 AS `a.b`", "2 AS `c``d`")
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+    assert docs.drop("shard", "slot").columns == columns and docs.count()
