@@ -18,7 +18,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest id."""
+    """Of documents whose fingerprints link, within 3 bits over 3-word shingles, the one with the smallest id stays."""
     return one_of_each(docs)
 
 
