@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from revtide.llm import decontaminate as op5
 from revtide.llm import language_id as op2
+from revtide.llm import minhash as op13
 from revtide.llm import mixing as op8
 from revtide.llm import pii as op3
 from revtide.llm import quality as op10
@@ -79,6 +80,11 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    rows = op13.near_duplicates(table("documents", spark, sf))
+    return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_ppm_language_id": op2_ppm_language_id,
@@ -90,6 +96,7 @@ QUERIES = {
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 ORACLE = {"op4_warc_normaliser": WARC, "op10_quality_rules": QUALITY}
