@@ -55,3 +55,56 @@ SELECT page_id, strlen(payload) AS payload_bytes,
        TRUE AS intact
 FROM bits WINDOW same AS (PARTITION BY payload)
 """
+
+#: Phrases of up to five words by language, counted one by one.
+PHRASES = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), pieces AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs)
+), words AS (
+  SELECT lang, piece, unnest(w) AS w1, unnest(range(len(w))) AS i FROM pieces
+), runs AS (
+  SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4, lead(w1, 4) OVER p AS w5
+  FROM words WINDOW p AS (PARTITION BY piece ORDER BY i)
+), places AS (
+  SELECT lang, 1 AS k, w1 AS phrase FROM runs
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL
+  UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM runs WHERE w5 IS NOT NULL
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM places GROUP BY ALL
+), n AS (
+  SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 100
+), cuts AS (
+  SELECT *, lang || chr(1) || array_to_string(w[1:cut], ' ') AS left_key,
+         lang || chr(1) || array_to_string(w[cut + 1:], ' ') AS right_key
+  FROM (SELECT *, unnest(generate_series(1, size - 1)) AS cut FROM candidates)
+), parts AS MATERIALIZED (
+  SELECT lang || chr(1) || phrase AS key, f FROM f WHERE f >= 100
+), scored AS (
+  SELECT c.lang, c.phrase, c.size, c.a, c.w, x.f AS l, y.f AS r, n.n, c.cut,
+         (1000::HUGEINT * c.a * n.n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts AS c JOIN n USING (lang) JOIN parts AS x ON x.key = c.left_key JOIN parts AS y ON y.key = c.right_key
+), least AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_parts AS (
+  SELECT lang, a, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(generate_series(1, size - k + 1)) AS i FROM candidates, (VALUES (2), (3), (4)) AS v(k) WHERE k < size)
+), kept AS (
+  SELECT * FROM least AS p WHERE NOT EXISTS (
+    SELECT 1 FROM inner_parts AS q WHERE q.lang = p.lang AND q.phrase = p.phrase AND 100 * q.a >= 100 * p.a)
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM kept
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""

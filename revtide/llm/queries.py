@@ -10,6 +10,7 @@ from revtide.llm import decontaminate as op5
 from revtide.llm import language_id as op2
 from revtide.llm import minhash as op13
 from revtide.llm import mixing as op8
+from revtide.llm import phrases as op12
 from revtide.llm import pii as op3
 from revtide.llm import quality as op10
 from revtide.llm import sharding as op7
@@ -18,7 +19,7 @@ from revtide.llm import token_counts as op9
 from revtide.llm import token_store as op6
 from revtide.llm import warc as op4
 from revtide.llm.common import scratch_dir, table
-from revtide.llm.oracle import QUALITY, WARC
+from revtide.llm.oracle import PHRASES, QUALITY, WARC
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,6 +81,10 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return op12.collocations(table("documents", spark, sf))
+
+
 def op13_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     rows = op13.near_duplicates(table("documents", spark, sf))
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -96,7 +101,8 @@ QUERIES = {
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
-ORACLE = {"op4_warc_normaliser": WARC, "op10_quality_rules": QUALITY}
+ORACLE = {"op4_warc_normaliser": WARC, "op10_quality_rules": QUALITY, "op12_phrase_collocations": PHRASES}
