@@ -33,14 +33,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return session.scratch_dir(spark, label)
 
 
-def stored(rows: DataFrame, label: str) -> DataFrame:
+def stored(rows: DataFrame, label: str, **options: str) -> DataFrame:
     """``rows`` written to the shared scratch folder and read again.
 
     It cuts the lineage: what follows reads files that outlive any executor.
     """
     spark = rows.sparkSession
     path = scratch_dir(spark, label)
-    rows.write.parquet(path)
+    rows.write.options(**options).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

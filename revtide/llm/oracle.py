@@ -108,3 +108,35 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(
        CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
 FROM ranked WHERE rank <= 2000
 """
+
+#: Scores of all documents for all questions, term by term.
+RANKED = rf"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+), size AS (
+  SELECT doc_id, sum(tf) AS n FROM tf GROUP BY doc_id
+), total AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term, docs
+), factors AS (
+  SELECT doc_id, CAST(10 + (90 * n * docs) // terms AS BIGINT) AS m FROM size, total
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN factors USING (doc_id)
+  GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

@@ -17,9 +17,10 @@ from revtide.llm import sharding as op7
 from revtide.llm import simhash as op1
 from revtide.llm import token_counts as op9
 from revtide.llm import token_store as op6
+from revtide.llm import treap_search as op11
 from revtide.llm import warc as op4
 from revtide.llm.common import scratch_dir, table
-from revtide.llm.oracle import PHRASES, QUALITY, WARC
+from revtide.llm.oracle import PHRASES, QUALITY, RANKED, WARC
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,6 +82,11 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_treap_search(spark: SparkSession, sf: str) -> DataFrame:
+    index = op11.build_index(table("documents", spark, sf))
+    return op11.search(index, table("benchmark", spark, sf), "item_id")
+
+
 def op12_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return op12.collocations(table("documents", spark, sf))
 
@@ -101,8 +107,14 @@ QUERIES = {
     "op8_temperature_mixing": op8_temperature_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op11_treap_search": op11_treap_search,
     "op12_phrase_collocations": op12_phrase_collocations,
     "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
-ORACLE = {"op4_warc_normaliser": WARC, "op10_quality_rules": QUALITY, "op12_phrase_collocations": PHRASES}
+ORACLE = {
+    "op4_warc_normaliser": WARC,
+    "op10_quality_rules": QUALITY,
+    "op11_treap_search": RANKED,
+    "op12_phrase_collocations": PHRASES,
+}
