@@ -43,6 +43,8 @@ FIRST_BANDS = 6
 BLOCK_ROWS = 2048
 #: Cells of the counts that bound an overlap.
 CELLS = 128
+#: Shingles that are sketched together.
+PART_SHINGLES = 1 << 17
 #: Rows of numbers in a batch, and pairs of a batch that leaves a task.
 NUMBER_ROWS = 10_000
 PAIRS = 1 << 16
@@ -109,6 +111,18 @@ def sketches(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
     return out
 
 
+def _parts(sets: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Runs of sets of few shingles in all, so that very long texts do not meet in one sketch."""
+    start = held = 0
+    for end, s in enumerate(sets):
+        if end > start and held + len(s) > PART_SHINGLES:
+            yield sets[start:end]
+            start, held = end, 0
+        held += len(s)
+    if start < len(sets):
+        yield sets[start:]
+
+
 def band_keys(sketch: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     """A hash for each band of each sketch; different bands have different hashes."""
     bands = sketch.shape[1] // rows
@@ -125,9 +139,10 @@ _LONGS = pa.list_(pa.int64())
 def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_set(t) for t in column_values(batch, "text")]
+        sketch = np.concatenate([sketches(part) for part in _parts(sets)] or [np.zeros((0, BINS), np.uint64)])
         keys = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
         half = 1 << 63
-        bands = _signed(band_keys(sketches(sets)))
+        bands = _signed(band_keys(sketch))
         new = {
             "h1": pa.array([(k >> 64) - half for k in keys], pa.int64()),
             "h2": pa.array([(k & (2 * half - 1)) - half for k in keys], pa.int64()),
