@@ -82,6 +82,49 @@ def rejects(lines: DataFrame, entity: str, text_column: str = "value") -> DataFr
     )
 
 
+def staged(lines: DataFrame, entity: str, path: str) -> DataFrame:
+    """Parses every line once, stores the outcome at ``path`` and reads it back.
+
+    ``object`` has the entity's nested fields and ``_reason`` why the line is
+    rejected; only rejected lines keep their text.  Objects, rejects and the
+    probes of fallbacks all read this table.
+    """
+    judged = _judged(lines, entity, "value")
+    fields = [F.col(f"_object.{f.name}").alias(f.name) for f in schemas.LANDING[entity].fields]
+    judged.select(
+        F.when(F.col(REASON).isNull(), F.struct(*fields)).alias("object"),
+        REASON,
+        ARRIVAL,
+        "file",
+        F.when(F.col(REASON).isNotNull(), F.col("value")).alias("line"),
+    ).write.parquet(path)
+    return lines.sparkSession.read.schema(staged_schema(lines, entity)).parquet(path)
+
+
+def staged_schema(lines: DataFrame, entity: str) -> T.StructType:
+    text = T.StringType()
+    return T.StructType(
+        [
+            T.StructField("object", schemas.LANDING[entity]),
+            T.StructField(REASON, text),
+            T.StructField(ARRIVAL, lines.schema[ARRIVAL].dataType),
+            T.StructField("file", text),
+            T.StructField("line", text),
+        ]
+    )
+
+
+def staged_objects(staged_lines: DataFrame) -> DataFrame:
+    """The objects that can be loaded, and ``_arrival``."""
+    return staged_lines.filter(F.col(REASON).isNull()).select("object.*", ARRIVAL)
+
+
+def staged_rejects(staged_lines: DataFrame, entity: str) -> DataFrame:
+    return staged_lines.filter(F.col(REASON).isNotNull()).select(
+        F.lit(entity).alias("entity"), "file", F.col(REASON).alias("reason"), "line"
+    )
+
+
 def _stamp(extracted_at: dt.datetime | Column) -> Column:
     return extracted_at if isinstance(extracted_at, Column) else utc(extracted_at)
 
