@@ -39,15 +39,17 @@ TOP = 10
 #: Share of a document's length in the saturation of its counts, in percent.
 LENGTH_PERCENT = 90
 #: Postings and documents of a shard; a document above that is a shard by itself.
-SHARD_POINTS = 1 << 20
+SHARD_POINTS = 1 << 21
 SHARD_DOCUMENTS = 1 << 14
 #: Queries that are sent to the tasks together.
 QUERY_BLOCK = 4096
-#: Ranges that are split in one step, first and at most.
-FIRST_STEP = 16
+#: Ranges of a query that are split in one step, in the first steps and at most.
+FIRST_STEP = 4
 STEP = 512
-#: Steps of the first descent.
-SEED_STEPS = 5
+#: Steps of the first descent, enough to reach single columns.
+SEED_STEPS = 24
+#: Queries that descend side by side.
+TOGETHER = 64
 
 _SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 _TABLE = bytes.maketrans(_SEPARATORS, b" " * len(_SEPARATORS))
@@ -147,108 +149,180 @@ def _gathered(code: np.ndarray) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def _children(treap: Treap, level: int, cells: np.ndarray, quadrant: np.ndarray) -> np.ndarray:
-    """Numbers of the cells' children in a quadrant, -1 where there is none."""
-    bits = np.where(cells >= 0, treap.children[level][cells], 0)
+def _child(treap: Treap, level: int, cells: np.ndarray, quadrant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which cells have a child in a quadrant, and the children's numbers where they do."""
+    bits = treap.children[level][cells]
     has = (bits >> quadrant) & 1 == 1
-    number = treap.before[level][cells] + np.bitwise_count(bits & ((1 << quadrant) - 1))
-    return np.where(has, number, -1)
+    below = (1 << quadrant[has]) - 1
+    return has, treap.before[level][cells[has]] + np.bitwise_count(bits[has] & below)
 
 
-def scores(treap: Treap, columns: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The full scores of some columns, from the root down."""
-    value = np.zeros((len(columns), len(rows)), np.int64)
-    cells = np.zeros(value.shape, np.int64)
-    for level in range(len(treap.top)):
-        shift = treap.height - level
+@dataclass(frozen=True)
+class Asked:
+    """Some queries: rows and weights of their terms one query after the other."""
+
+    first: np.ndarray
+    rows: np.ndarray
+    weights: np.ndarray
+
+    @staticmethod
+    def of(queries: list[tuple[np.ndarray, np.ndarray]]) -> Asked:
+        sizes = [len(rows) for rows, _ in queries]
+        none = [np.zeros(0, np.int64)]
+        return Asked(
+            np.concatenate(([0], np.cumsum(sizes))).astype(np.int64),
+            np.concatenate([r for r, _ in queries] or none).astype(np.int64),
+            np.concatenate([w for _, w in queries] or none).astype(np.int64),
+        )
+
+
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of spans one after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+
+
+def scores(
+    treap: Treap, level: int, least: np.ndarray, column: np.ndarray, pair, term, cell, asked: Asked
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a query and a column that reach the pair's least score, and their full scores.
+
+    ``pair, term, cell`` have the terms' cells at ``level``, pair by pair; cells
+    above hold no points of the pairs' columns in the terms' rows.  A pair goes
+    as soon as what it has and what its cells allow stay below its least.
+    """
+    out = np.zeros(len(column), np.int64)
+    for k in range(level, len(treap.top)):
+        if not len(term):
+            break
+        shift = treap.height - k
         low = (1 << shift) - 1
-        own = (treap.row[level][cells] == rows & low) & (treap.column[level][cells] == (columns & low)[:, None])
-        own &= cells >= 0
-        value[own] = treap.top[level][cells[own]]
-        if level + 1 == len(treap.top):
+        row, col = asked.rows[term], column[pair]
+        own = (treap.row[k][cell] == row & low) & (treap.column[k][cell] == col & low)
+        np.add.at(out, pair[own], treap.top[k][cell[own]] * asked.weights[term[own]])
+        if k + 1 == len(treap.top):
             break
-        quadrant = (rows >> (shift - 1) & 1) * 2 + (columns >> (shift - 1) & 1)[:, None]
-        cells = np.where(own, -1, _children(treap, level, cells, quadrant))
-    return value @ weights
+        left = np.flatnonzero(~own)
+        quadrant = (row[left] >> (shift - 1) & 1) * 2 + (col[left] >> (shift - 1) & 1)
+        has, cell = _child(treap, k, cell[left], quadrant)
+        term, pair = term[left[has]], pair[left[has]]
+        bound = out.copy()
+        np.add.at(bound, pair, treap.top[k + 1][cell] * asked.weights[term])
+        alive = (bound >= least)[pair]
+        term, pair, cell = term[alive], pair[alive], cell[alive]
+        out[bound < least] = 0
+    good = np.flatnonzero((out >= least) & (out > 0))
+    return good, out[good]
 
 
 class _Ranges:
-    """Ranges of columns still to be split, with their bounds."""
+    """Ranges of columns still to be split: query, level, first column, bound, and the cells of the terms that have one."""
 
-    def __init__(self, lanes: int):
+    def __init__(self):
         none = np.zeros(0, np.int64)
-        self.level, self.prefix, self.bound, self.cells = none, none, none, np.zeros((0, lanes), np.int64)
-
-    def add(self, level: int, prefix: np.ndarray, bound: np.ndarray, cells: np.ndarray) -> None:
-        self.level = np.concatenate((self.level, np.full(len(prefix), level)))
-        self.prefix = np.concatenate((self.prefix, prefix))
-        self.bound = np.concatenate((self.bound, bound))
-        self.cells = np.concatenate((self.cells, cells))
-
-    def _at(self, at: np.ndarray) -> tuple[np.ndarray, ...]:
-        return self.level[at], self.prefix[at], self.bound[at], self.cells[at]
-
-    def take(self, most: int, least: int) -> tuple[np.ndarray, ...]:
-        """The highest bounds; ranges below the least go."""
-        at = np.flatnonzero(self.bound >= least)
-        if len(at) > most:
-            order = np.argpartition(-self.bound[at], most)
-            at, rest = at[order[:most]], at[order[most:]]
-        else:
-            rest = at[:0]
-        taken = self._at(at)
-        self.level, self.prefix, self.bound, self.cells = self._at(rest)
-        return taken
+        self.states = [none] * 6  # query, level, prefix, bound, first, size
+        self.cells = [none, none]  # term, cell
+
+    def add(self, query, level, prefix, bound, size, term, cell) -> None:
+        first = len(self.cells[0]) + np.cumsum(size) - size
+        new = (query, np.full(len(query), level), prefix, bound, first, size)
+        self.states = [np.concatenate(x) for x in zip(self.states, new, strict=True)]
+        self.cells = [np.concatenate(x) for x in zip(self.cells, (term, cell), strict=True)]
+
+    def take(self, most: int, least: np.ndarray) -> list[np.ndarray]:
+        """Of each query the ranges with the highest bounds; those below its least go."""
+        query, bound = self.states[0], self.states[3]
+        at = np.flatnonzero(bound >= least[query])
+        order = at[np.lexsort((-bound[at], query[at]))]
+        new = np.flatnonzero(np.concatenate(([True], query[order][1:] != query[order][:-1]))) if len(order) else order
+        rank = np.arange(len(order)) - np.repeat(new, np.diff(np.append(new, len(order))))
+        taken = [*(x[order[rank < most]] for x in self.states)]
+        cells = self.cells
+        rest = order[rank >= most]
+        # What is left moves together.
+        keep = _spans(self.states[4][rest], self.states[5][rest])
+        moved = [x[rest] for x in self.states]
+        moved[4] = np.cumsum(moved[5]) - moved[5]
+        self.states, self.cells = moved, [x[keep] for x in cells]
+        place = _spans(taken[4], taken[5])
+        return [*taken[:3], taken[5], cells[0][place], cells[1][place]]
 
 
 def best(
-    treap: Treap, columns: int, rows: np.ndarray, weights: np.ndarray, top: int, least: int = 1, steps: int | None = None
-) -> list[tuple[int, int]]:
-    """The best ``top`` columns as ``score, column``, scores of ``least`` or more; of equal scores the first columns.
+    treap: Treap, columns: int, asked: Asked, top: int, least: np.ndarray, steps: int | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query the best ``top`` columns as ``query, score, column``, scores of
+    its ``least`` (1 at least) or more; of equal scores the first columns.
 
-    ``rows`` are the treap's rows of the query's terms.  With a number of
-    ``steps`` the search may end early, with true scores of good columns.
+    The queries descend side by side.  With a number of ``steps`` the search may
+    end early, with true scores of good columns.
     """
-    if not len(rows) or not treap.top:
-        return []
-    found: list[tuple[int, int]] = []
-    done = np.zeros(columns, bool)
-    ranges, root = _Ranges(len(rows)), np.zeros((1, len(rows)), np.int64)
-    ranges.add(0, np.zeros(1, np.int64), np.full(1, treap.top[0][0] * weights.sum()), root)
-    size, turn = FIRST_STEP, 0
+    queries = len(asked.first) - 1
+    least = np.maximum(least, 1)
+    none = np.zeros(0, np.int64)
+    found = [none, none, none]
+    sizes = np.diff(asked.first)
+    some = np.flatnonzero(sizes)
+    if not treap.top or not len(some):
+        return tuple(found)
+    done = np.zeros(queries * columns, bool)
+    ranges = _Ranges()
+    every = _spans(asked.first[some], sizes[some])
+    bound = np.bincount(np.repeat(some, sizes[some]), asked.weights[every], queries)[some] * treap.top[0][0]
+    ranges.add(some, 0, np.zeros(len(some), np.int64), bound.astype(np.int64), sizes[some], every, np.zeros(len(every), np.int64))
+    turn = 0
     while steps is None or turn < steps:
-        level, prefix, _, cells = ranges.take(size, max(least, found[-1][0]) if len(found) == top else least)
-        if not len(level):
+        size = FIRST_STEP if turn < SEED_STEPS else min(FIRST_STEP << (turn - SEED_STEPS + 1), STEP)
+        query, level, prefix, held, term, cell = ranges.take(size, least)
+        if not len(query):
             break
-        turn, size = turn + 1, min(2 * size, STEP)
+        turn += 1
+        first = np.cumsum(held) - held
         met = []
         for k in np.unique(level).tolist():
-            here = level == k
-            met.append(_split(treap, k, prefix[here], cells[here], rows, weights, ranges))
-        new = np.unique(np.concatenate(met))
-        new = new[~done[new]]
-        done[new] = True
-        sums = scores(treap, new, rows, weights)
-        good = sums >= least
-        found += zip(sums[good].tolist(), new[good].tolist(), strict=True)
-        found = sorted(found, key=lambda x: (-x[0], x[1]))[:top]
-    return found
-
-
-def _split(treap: Treap, level: int, prefix, cells, rows, weights, ranges: _Ranges) -> np.ndarray:
-    """Adds the halves of ranges of one level; returns the columns of the cells' own points in the terms' rows."""
+            here = np.flatnonzero(level == k)
+            place = _spans(first[here], held[here])
+            cells = np.repeat(np.arange(len(here)), held[here]), term[place], cell[place]
+            met.append(_split(treap, k, query[here], prefix[here], held[here], *cells, asked, columns, done, least, ranges))
+        both = [np.concatenate(x) for x in zip(found, *met, strict=True)]
+        order = np.lexsort((both[2], -both[1], both[0]))
+        first = np.searchsorted(both[0][order], np.arange(queries))
+        rank = np.arange(len(order)) - first[both[0][order]]
+        found = [x[order[rank < top]] for x in both]
+        full = order[rank == top - 1]
+        least[both[0][full]] = both[1][full]
+    return tuple(found)
+
+
+def _split(treap: Treap, level: int, query, prefix, held, state, term, cell, asked: Asked, columns, done, least, ranges):
+    """Adds the halves of ranges of one level; returns ``query, score, column`` of
+    documents that a cell's own point brings up, each once.
+
+    The cells above have brought up the columns of all their points in the
+    terms' rows, so for a new column the cells of its range say all.
+    """
     shift = treap.height - level
-    own = (cells >= 0) & (treap.row[level][cells] == rows & ((1 << shift) - 1))
-    columns = ((prefix << shift)[:, None] | treap.column[level][cells])[own]
+    row = asked.rows[term]
+    own = treap.row[level][cell] == row & ((1 << shift) - 1)
+    column = (prefix[state[own]] << shift) | treap.column[level][cell[own]]
+    key, at = np.unique(query[state[own]] * columns + column, return_index=True)
+    new = ~done[key]
+    done[key] = True
+    column, home = column[at[new]], state[own][at[new]]
+    place = _spans((np.cumsum(held) - held)[home], held[home])
+    pair = np.repeat(np.arange(len(home)), held[home])
+    good, sums = scores(treap, level, least[query[home]], column, pair, term[place], cell[place], asked)
     if level + 1 < len(treap.top):
-        row_bit = (rows >> (shift - 1) & 1) * 2
+        row_bit = (row >> (shift - 1) & 1) * 2
         for half in (0, 1):
-            below = _children(treap, level, cells, row_bit + half)
-            bound = np.where(below >= 0, treap.top[level + 1][below], 0) @ weights
-            some = bound > 0
-            if some.any():
-                ranges.add(level + 1, prefix[some] * 2 + half, bound[some], below[some])
-    return columns
+            has, below = _child(treap, level, cell, row_bit + half)
+            kept, lanes = state[has], term[has]
+            if len(kept):
+                start = np.concatenate(([0], np.flatnonzero(kept[1:] != kept[:-1]) + 1))
+                bound = np.add.reduceat(treap.top[level + 1][below] * asked.weights[lanes], start)
+                size = np.diff(np.append(start, len(kept)))
+                ranges.add(query[kept[start]], level + 1, prefix[kept[start]] * 2 + half, bound, size, lanes, below)
+    return query[home[good]], sums, column[good]
 
 
 # Shards
@@ -266,8 +340,8 @@ def _shard(doc_ids: list, lengths: list[int], postings: list[tuple], words: list
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     column = np.repeat(place, [len(p[0]) for p in postings])
-    term = np.fromiter((t for p in postings for t in p[0]), np.int64, len(column))
-    tf = np.fromiter((n for p in postings for n in p[1]), np.int64, len(column))
+    term = np.concatenate([p[0] for p in postings]).astype(np.int64)
+    tf = np.concatenate([p[1] for p in postings]).astype(np.int64)
     m = np.array([length_factor(n, documents, all_terms) for n in lengths], np.int64)
     value = 1_000_000_000 * tf // (1000 * tf + 8 * np.repeat(m, [len(p[0]) for p in postings]))
     holding = np.bincount(term, minlength=len(words))
@@ -316,7 +390,8 @@ def _build_batches(documents: int, all_terms: int, shard_points: int, shard_docu
                     continue
                 doc_ids.append(doc_id)
                 lengths.append(counts.total())
-                postings.append(([number.setdefault(t, len(number)) for t in counts], list(counts.values())))
+                ids = np.fromiter((number.setdefault(t, len(number)) for t in counts), np.int32, len(counts))
+                postings.append((ids, np.fromiter(counts.values(), np.int32, len(counts))))
                 points += len(counts)
                 if points >= shard_points or len(doc_ids) >= shard_documents:
                     yield shard()
@@ -438,14 +513,19 @@ def _best_batches(shared, weighted, top: int, steps: int | None):
         kept: list[list[tuple]] = [[] for _ in block.queries]
         for shard in _shards_of(batches):
             rows = shard.rows_of(block.wanted, block.hashes)
-            for q, numbers in enumerate(block.queries):
-                there = numbers[rows[numbers] >= 0]
-                own = kept[q]
-                floor = max(int(least[q]), own[-1][0]) if len(own) == top else int(least[q])
-                found = best(shard.treap, len(shard.doc_ids), rows[there], weights[there], top, floor, steps)
-                if found:
-                    own += [(score, shard.doc_ids[c]) for score, c in found]
-                    kept[q] = sorted(own, key=lambda x: (-x[0], x[1] is None, x[1] or 0))[:top]
+            for start in range(0, len(block.queries), TOGETHER):
+                part = [numbers[rows[numbers] >= 0] for numbers in block.queries[start : start + TOGETHER]]
+                asked = Asked.of([(rows[there], weights[there]) for there in part])
+                floor = least[start : start + len(part)].copy()
+                for q in range(len(part)):
+                    own = kept[start + q]
+                    if len(own) == top:
+                        floor[q] = max(floor[q], own[-1][0])
+                found = best(shard.treap, len(shard.doc_ids), asked, top, floor, steps)
+                for q, score, column in zip(*(x.tolist() for x in found), strict=True):
+                    kept[start + q].append((score, shard.doc_ids[column]))
+                for q in np.unique(found[0]).tolist():
+                    kept[start + q] = sorted(kept[start + q], key=lambda x: (-x[0], x[1] is None, x[1] or 0))[:top]
         out = [(q, doc, score) for q, own in enumerate(kept) for score, doc in own]
         columns = list(zip(*out, strict=True)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query", "doc_id", "score"])

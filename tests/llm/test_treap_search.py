@@ -62,9 +62,12 @@ def test_treap_holds_every_point_once_and_falls():
         assert (treap.top[level + 1] <= treap.top[level][parents]).all() and len(parents) == len(treap.top[level + 1])
     grid = np.zeros((64, 64), np.int64)
     grid[row, column] = value
-    every, ones = np.arange(64), np.ones(1, np.int64)
+    every = np.arange(64)
     for r in range(64):
-        assert ts.scores(treap, every, np.array([r]), ones).tolist() == grid[r].tolist()
+        asked = ts.Asked.of([(np.array([r]), np.ones(1, np.int64))])
+        none = np.zeros(64, np.int64)
+        good, sums = ts.scores(treap, 0, none, every, every, none, none, asked)
+        assert good.tolist() == np.flatnonzero(grid[r]).tolist() and sums.tolist() == grid[r][grid[r] > 0].tolist()
 
 
 @pytest.mark.parametrize("seed", range(8))
@@ -77,16 +80,19 @@ def test_best_first_against_all_columns(seed):
     treap = ts.build(row, column, value, max(rows - 1, columns - 1).bit_length())
     grid = np.zeros((rows, columns), np.int64)
     grid[row, column] = value
+    queries = []
     for _ in range(10):
-        asked = rng.choice(rows, min(rows, int(rng.integers(1, 30))), replace=False)
-        weights = rng.integers(0, 9, len(asked))
-        sums = weights @ grid[asked]
-        expected = [(int(sums[c]), c) for c in sorted(range(columns), key=lambda c: (-sums[c], c))[:7] if sums[c] > 0]
-        assert ts.best(treap, columns, asked, weights, 7) == expected
-        if len(expected) == 7:
-            assert ts.best(treap, columns, asked, weights, 7, expected[-1][0]) == expected
-            least = expected[2][0]
-            assert ts.best(treap, columns, asked, weights, 7, least) == [x for x in expected if x[0] >= least]
+        asked = rng.choice(rows, int(rng.integers(0, min(rows, 30) + 1)), replace=False)
+        queries.append((asked, rng.integers(0, 9, len(asked))))
+    least, expected = np.ones(10, np.int64), []
+    for q, (asked, weights) in enumerate(queries):
+        sums = weights @ grid[asked] if len(asked) else np.zeros(columns, np.int64)
+        order = sorted(range(columns), key=lambda c: (-sums[c], c))[:7]
+        if q % 3 == 1 and sums[order[-1]] > 0:
+            least[q] = sums[order[2 if len(order) > 2 else 0]]  # a score that some columns reach
+        expected += [(q, int(sums[c]), c) for c in order if sums[c] >= least[q]]
+    found = ts.best(treap, columns, ts.Asked.of(queries), 7, least)
+    assert list(zip(*(x.tolist() for x in found), strict=True)) == expected
 
 
 def test_few_ranges_are_split(monkeypatch):
@@ -98,8 +104,9 @@ def test_few_ranges_are_split(monkeypatch):
     row, column = np.nonzero(full)
     treap = ts.build(row, column, rng.integers(500, 1000, len(row)), 13)
     scored, scores = [], ts.scores
-    monkeypatch.setattr(ts, "scores", lambda t, new, r, w: scored.append(len(new)) or scores(t, new, r, w))
-    assert len(ts.best(treap, 8192, np.arange(300, 310), np.full(10, 9), 10)) == 10
+    monkeypatch.setattr(ts, "scores", lambda t, k, least, new, *more: scored.append(len(new)) or scores(t, k, least, new, *more))
+    asked = ts.Asked.of([(np.arange(300, 310), np.full(10, 9))])
+    assert len(ts.best(treap, 8192, asked, 10, np.ones(1, np.int64))[0]) == 10
     assert 10 <= sum(scored) < 1200
 
 
