@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from revtide.llm.columnar_tokens import ColumnarEncoder
 from revtide.llm.common import column_values, small_batches, stored, utf8, with_columns
-from revtide.llm.piece_memory import PieceMemory
 
 END = 1
+#: Bytes of texts that are looked up together.
+GROUP_BYTES = 16 << 20
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -30,41 +32,44 @@ ORC_OPTIONS = {
     "orc.create.index": "true",
 }
 
-def _piece_bytes(ids: np.ndarray, cuts: np.ndarray) -> list[bytes]:
-    data, places = ids.astype("<u4").tobytes(), (4 * cuts).tolist()
-    return [data[a:b] for a, b in zip(places[:-1], places[1:], strict=True)]
-
-
 @cache
-def _memory(path: str) -> PieceMemory:
-    """A worker's memory, which its later tasks find again.  The tokenizer lowers its text and marks words' ends."""
-    return PieceMemory(
-        Tokenizer.from_file(path),
-        _piece_bytes,
-        lambda token: token.endswith("</w>"),
-        leads=False,
-        glue=" ",
-        plain=lambda part: part.lower() if part.isascii() and part.isalpha() else part,
-    )
+def _encoder(path: str) -> ColumnarEncoder:
+    """A worker's encoder with what it remembers, which its later tasks find again."""
+    return ColumnarEncoder(Tokenizer.from_file(path))
 
 
 def _encode_batches(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(path)
-        stop = np.array([end], "<u4").tobytes()
+        held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            # The tokenizer drops white space and never joins across it.
-            words = ((text or b"").split() for text in column_values(batch, "text"))
-            ids = [b"".join(values) + stop for values in memory.of_documents(words)]
-            sizes = np.fromiter((len(x) // 4 for x in ids), np.int32, len(ids))
-            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-            values = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            yield with_columns(batch, ["doc_id", "text_hash"], {"ids": lists})
+            held.append(batch)
+            size += batch.nbytes
+            if size >= GROUP_BYTES:
+                yield from _encoded(held, _encoder(path), end)
+                held, size = [], 0
+        yield from _encoded(held, _encoder(path), end)
 
     return run
 
 
+def _encoded(held: list[pa.RecordBatch], encoder: ColumnarEncoder, end: int) -> Iterator[pa.RecordBatch]:
+    """The batches with their texts' ids, looked up together."""
+    if not held:
+        return
+    ids, sizes = encoder.encode([t for batch in held for t in column_values(batch, "text")])
+    ids, sizes = np.insert(ids, np.cumsum(sizes), end), sizes + 1
+    ends = np.cumsum(sizes)
+    at = 0
+    for batch in held:
+        own = sizes[at : at + batch.num_rows]
+        start = int(ends[at] - own[0]) if len(own) else 0
+        offsets = np.concatenate(([0], np.cumsum(own))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[start : start + int(offsets[-1])]))
+        yield with_columns(batch, ["doc_id", "text_hash"], {"ids": lists})
+        at += batch.num_rows
+
+
 def write_tokens(documents: DataFrame, path: str, tokenizer_path: str, end: int = END) -> None:
     """Ids of every row, ``end`` after each, as ORC under ``path`` in ascending doc_id order.
 

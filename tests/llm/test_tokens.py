@@ -104,3 +104,24 @@ def test_awkward_rows(spark, tmp_path):
     assert token_store.token_index(spark, f"{tmp_path}/a").count() == frame.count()
     token_store.write_tokens(frame.limit(0), f"{tmp_path}/none", WORDS)
     assert token_store.token_index(spark, f"{tmp_path}/none").count() == 0
+
+
+ODD = [
+    "Hello, World!! it's don't  we'll 'S", "naïve Café É́ é.", "İstanbul ß ǅ ͅ", "123 4.5,6;7 a1b2 x_y", "日本語。テスト, ok",
+    "ſo Kelvin K...", "a.b.c. ... .,;", " nbsp　x y", "<|endoftext|> w</w> \x00 x\x1cy", "ª. µ, º; ×! ÷? ŉ",
+    "ΑΣ. ΑΣ", "'s, 'T; l'm.", "", " \n\t", "x" * 5000 + "!?",
+]
+
+
+@pytest.mark.parametrize("most_parts", [2_000_000, 5])
+def test_columnar_ids_are_the_librarys(most_parts):
+    from tokenizers import Tokenizer
+
+    from revtide.llm.columnar_tokens import ColumnarEncoder
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    encoder = ColumnarEncoder(tokenizer, most_parts)
+    for texts in (ODD, ODD[::-1] * 2, [None, "plain words, again plain words."]):
+        ids, sizes = encoder.encode([t and t.encode() for t in texts])
+        expected = [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
