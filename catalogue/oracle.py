@@ -511,6 +511,11 @@ ORACLE = {
              SELECT 1 FROM b_raw_invoices i WHERE i.subscription_id = f.subscription_id)""",
         LANDED,
     ),
+    "incremental_invoices": with_base(invoices_flat("b_invoices")),
+    "incremental_monthly_summary": with_base("SELECT * FROM m_summary", REFRESHED_METRICS),
+    "failed_refresh_keeps_all_tables": with_base(
+        f"SELECT table_name, row_count, 'failed' AS outcome FROM ({_REFRESHED_COUNTS})", REFRESHED
+    ),
     "billing_periods": with_base(
         f"""SELECT subscription_id, CAST(period_number AS INTEGER) AS period_number,
                    start_date + CAST(30 * period_number AS INTEGER) AS period_start

@@ -403,6 +403,63 @@ def subscriptions_from_references(spark, sf):
     return tables.read_table(spark, f"{folder}/tables", "subscriptions").select("subscription_id", "customer_id", "status")
 
 
+def _in_two_extracts(spark, sf):
+    """A full refresh of a part of the landing files, then an increment with the rest.
+
+    By key: every fourth customer comes late, a third of the invoices and
+    subscriptions too, and another third is delivered again, as void.
+    """
+    folder = session.scratch_dir(spark, "increment")
+    key = F.regexp_extract("value", '"id":"[a-z]+_([0-9]+)', 1).cast("bigint")
+
+    def early(name, lines):
+        if name in ("products", "prices"):
+            return lines
+        return lines.filter(key % 4 != 0 if name == "customers" else key % 3 != 0)
+
+    def late(name, lines):
+        if name in ("products", "prices"):
+            return None
+        if name == "customers":
+            return lines.filter(key % 4 == 0)
+        void = F.regexp_replace("value", '"status":"[^"]*"', '"status":"void"')
+        return lines.filter(key % 3 != 2).withColumn("value", F.when(key % 3 == 1, void).otherwise(F.col("value")))
+
+    first = tb.write_landing(spark, sf, f"{folder}/first", early)
+    later = tb.write_landing(spark, sf, f"{folder}/later", late)
+    warehouse = f"{folder}/tables"
+    refresh.full_refresh(spark, first, warehouse, AS_OF, EXTRACTED_AT, buckets=16)
+    refresh.incremental_refresh(spark, later, warehouse, AS_OF, EXTRACTED_AT, buckets=16)
+    return warehouse
+
+
+def incremental_invoices(spark, sf):
+    return _plain_times(tables.read_table(spark, _in_two_extracts(spark, sf), "invoices"))
+
+
+def incremental_monthly_summary(spark, sf):
+    return _plain_times(tables.read_table(spark, _in_two_extracts(spark, sf), "mrr_monthly_summary"))
+
+
+def failed_refresh_keeps_all_tables(spark, sf):
+    """A second load breaks at its last base table; base and derived tables are those of the first."""
+    folder = session.scratch_dir(spark, "broken")
+    sources = tb.write_landing(spark, sf, f"{folder}/landing")
+    refresh.full_refresh(spark, sources, f"{folder}/tables", AS_OF, EXTRACTED_AT)
+    undated = F.regexp_replace("value", '"created":[0-9]+,', "").alias("value")
+    spark.read.text(sources["invoices"]).select(undated).write.text(f"{folder}/undated")
+    spark.read.text(sources["customers"]).filter(F.length("value") % 2 == 0).write.text(f"{folder}/fewer")
+    broken = sources | {"invoices": f"{folder}/undated", "customers": f"{folder}/fewer"}
+    try:
+        refresh.full_refresh(spark, broken, f"{folder}/tables", AS_OF, EXTRACTED_AT)
+    except PySparkException:
+        outcome = "failed"
+    else:
+        outcome = "stored"
+    stored = {name: tables.read_table(spark, f"{folder}/tables", name) for name in schemas.TABLES}
+    return checks.table_counts(stored).withColumn("outcome", F.lit(outcome))
+
+
 # Ledgers
 
 def billing_periods(spark, sf):
@@ -446,7 +503,8 @@ QUERIES = {
         roundtrip_ndjson, roundtrip_partitioned_clustered, full_refresh, stored_monthly_summary,
         stored_subscriptions, stored_invoices, stored_customer_cohorts,
         failed_refresh_keeps_table, landing_rejects, catalog_roundtrip,
-        subscriptions_from_references, billing_periods, running_net_mrr, acquisition_pivot,
+        subscriptions_from_references, incremental_invoices, incremental_monthly_summary,
+        failed_refresh_keeps_all_tables, billing_periods, running_net_mrr, acquisition_pivot,
         status_share, plan_distribution, invoices_per_acquisition_month,
     )
 }

@@ -328,15 +328,20 @@ LINES = {
 }
 
 
-def write_landing(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
+def write_landing(spark: SparkSession, sf_dir: str, folder: str, part=None) -> dict[str, str]:
     """Landing files of all entities; returns their paths.
 
+    ``part`` may take an entity's name and lines and say which of them are
+    delivered, or None for an entity that is not.
+
     Invoices are range-sorted, so copies of one id follow each other in
     keep-first order, within a file or from one file to the next.
     """
     paths = {}
     for entity, lines in LINES.items():
         frame = lines(spark, sf_dir)
+        if part is not None and (frame := part(entity, frame)) is None:
+            continue
         order = [c for c in frame.columns if c.startswith("order_")]
         if order:
             frame = frame.withColumn("key", F.get_json_object("value", "$.id"))
