@@ -37,8 +37,10 @@ SIMILAR_PERCENT = 80
 BAND_ROWS = 6
 BANDS = 48
 BINS = BAND_ROWS * BANDS
-#: Bands whose neighbours are confirmed first.
-FIRST_BANDS = 6
+#: Bands whose neighbours are confirmed first; below ``BANDS`` those of all bands
+#: follow, across what is connected by then.  That moves fewer texts and takes one
+#: more round of components.
+FIRST_BANDS = BANDS
 #: Members of a bucket that one task compares with each other.
 BLOCK_ROWS = 2048
 #: Cells of the counts that bound an overlap.
@@ -420,8 +422,8 @@ def near_duplicates(
 
     found = _Verification(texts, percent)
     plain = buckets.withColumn("root", F.col("key"))
-    for chosen in (plain.filter(F.col("band") < first_bands), None):
-        chosen = found.rooted(buckets) if chosen is None else chosen
+    for bands in sorted({min(first_bands, BANDS), BANDS}):
+        chosen = found.rooted(buckets) if found.links is not None else plain.filter(F.col("band") < bands)
         ordered = _sorted_by(chosen.select("bucket", "n", "key", "root"), "bucket", "n", "key")
         found.confirm(ordered.mapInArrow(_neighbour_batches(percent), "a long, b long"))
     rooted = stored(found.rooted(buckets).select("bucket", "n", "key", "root"), "rooted")
