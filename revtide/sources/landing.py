@@ -42,10 +42,12 @@ def landing_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def parse_landing(lines: DataFrame, entity: str, text_column: str = "value") -> DataFrame:
     """Parse JSON text that sits in a column; other columns are kept.
 
-    Lines that ``rejects`` lists are left out.
+    Lines that ``rejects`` lists are left out.  A generator makes the objects of a
+    line, one or none: a filter on them would be moved below and parse again.
     """
     kept = [c for c in lines.columns if c != text_column]
-    parsed = _judged(lines, entity, text_column).filter(F.col(REASON).isNull())
+    good = F.filter(F.array(_object(text_column, entity)), lambda read: _reason(read, entity).isNull())
+    parsed = lines.select(F.explode(good).alias("_object"), *kept)
     fields = [F.col(f"_object.{name}") for name in schemas.LANDING[entity].fieldNames()]
     return parsed.select(*fields, *kept)
 
@@ -55,18 +57,26 @@ def read_landing(spark: SparkSession, entity: str, path: str | list[str]) -> Dat
     return parse_landing(landing_lines(spark, path).drop("file"), entity)
 
 
-def _judged(lines: DataFrame, entity: str, text_column: str) -> DataFrame:
-    """Adds the parsed ``_object`` and why the line is rejected, null if it is not."""
+def _object(text_column: str, entity: str) -> Column:
     schema = T.StructType([*schemas.LANDING[entity].fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    read = lines.withColumn("_object", F.from_json(text_column, schema, options))
-    reason = F.when(F.col("_object").isNull() | F.col(f"_object.{_CORRUPT}").isNotNull(), F.lit(MALFORMED))
+    return F.from_json(text_column, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _reason(read: Column, entity: str) -> Column:
+    """Why a parsed line is rejected, null if it is not."""
+    reason = F.when(read.isNull() | read[_CORRUPT].isNotNull(), F.lit(MALFORMED))
     for name in REQUIRED.get(entity, ()):
-        reason = reason.when(F.col(f"_object.{name}").isNull(), F.lit(f"no {name}"))
+        reason = reason.when(read[name].isNull(), F.lit(f"no {name}"))
     if entity == "subscriptions":
-        item = first_element(F.col("_object.items.data"))
+        item = first_element(read["items"]["data"])
         reason = reason.when(item.isNotNull() & item["price"].isNull(), F.lit("no price"))
-    return read.withColumn(REASON, reason)
+    return reason
+
+
+def _judged(lines: DataFrame, entity: str, text_column: str) -> DataFrame:
+    """Adds the parsed ``_object`` and why the line is rejected, null if it is not."""
+    read = lines.withColumn("_object", _object(text_column, entity))
+    return read.withColumn(REASON, _reason(F.col("_object"), entity))
 
 
 def rejects(lines: DataFrame, entity: str, text_column: str = "value") -> DataFrame:
