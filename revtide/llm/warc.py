@@ -54,12 +54,31 @@ def record_bytes(headers: dict[str, str], block: bytes) -> bytes:
     return "\r\n".join(lines).encode("utf-8", "surrogateescape") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+#: Names that are looked up here; archives may write them in any case.
+_NAMES = {
+    name.lower(): name
+    for name in (
+        "WARC-Type", "WARC-Record-ID", "WARC-Date", "WARC-Target-URI", "WARC-Payload-Digest", "WARC-Profile",
+        "WARC-Refers-To", "Content-Type", "Content-Length", "Page-ID", "Payload-Length", "Refers-To-Page-ID",
+    )
+}
+
+
 def parse_record(data: bytes) -> Record:
+    """Headers and block; names of any case, values with or without a space before them, lines that go on."""
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "surrogateescape").split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
-    headers = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
+    headers: dict[str, str] = {}
+    last = None
+    for line in lines[1:]:
+        if line[:1] in (" ", "\t") and last is not None:
+            headers[last] = f"{headers[last]} {line.strip()}".strip()
+            continue
+        name, _, value = line.partition(":")
+        last = _NAMES.get(name.strip().lower(), name.strip())
+        headers[last] = value.strip()
     return Record(headers, rest[: int(headers["Content-Length"])])
 
 

@@ -84,3 +84,21 @@ def test_empty_table_and_query(spark, tmp_path):
     assert warc.round_trip(pages(spark, []), f"{tmp_path}/none").count() == 0
     pages(spark, ROWS).write.parquet(f"{tmp_path}/pages.parquet")
     assert QUERIES["op4_warc_normaliser"](spark, str(tmp_path)).count() == len(ROWS)
+
+
+def test_headers_of_other_writers(tmp_path):
+    """Lower-case names, no space after the colon, folded lines."""
+    heads = [
+        b"WARC/1.0\r\nwarc-type: response\r\ncontent-length: 2\r\npage-id: 7",
+        b"WARC/1.1\r\nWARC-Type:resource\r\nContent-Length:3\r\nPage-ID:8",
+        b"WARC/1.1\r\nContent-Type: text/html;\r\n charset=utf-8\r\nWARC-TYPE: response\r\nX-Own: a: b\r\nContent-Length: 0",
+    ]
+    blocks = [b"ab", b"c\r\n", b""]
+    data = b"".join(h + b"\r\n\r\n" + b + b"\r\n\r\n" for h, b in zip(heads, blocks, strict=True))
+    records = [warc.parse_record(r) for r in warc.records_of_stream(iter([data[:30], data[30:]]))]
+    assert [r.block for r in records] == blocks
+    assert [r.headers["WARC-Type"] for r in records] == ["response", "resource", "response"]
+    assert records[2].headers["Content-Type"] == "text/html; charset=utf-8" and records[2].headers["X-Own"] == "a: b"
+    source = tmp_path / "other.warc.gz"
+    source.write_bytes(gzip.compress(data))
+    assert warc.normalise(str(source), str(tmp_path / "normal.warc.gz"))[1] == 3
