@@ -43,8 +43,11 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, pa.Array]:
     """Word numbers of the texts one after the other, -1 between pieces, and the words."""
     spaced = [(t or b"").lower().translate(_TABLE).replace(b".", b" . ") + b" ." for t in texts]
-    words = pc.ascii_split_whitespace(pa.array(spaced, pa.binary()).cast(pa.string()))
-    # Lists of lists of strings would not fit 32-bit offsets in one array at any size; chunks do.
+    try:
+        strings = pa.array(spaced, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:  # not UTF-8
+        strings = pa.array([t.decode("utf-8", "replace") for t in spaced], pa.string())
+    words = pc.ascii_split_whitespace(strings)
     coded = words.flatten().dictionary_encode()
     ids, known = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
     empty, stop = known.index("").as_py(), known.index(".").as_py()
