@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Parts that a worker remembers, at most, and their bytes.
-MOST_PARTS = 2_000_000
-MOST_BYTES = 96 << 20
+MOST_PARTS = 1_500_000
+MOST_BYTES = 64 << 20
 #: Words of letters that are encoded as one text.
 JOINED = 512
 

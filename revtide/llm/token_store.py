@@ -22,7 +22,7 @@ from revtide.llm.common import column_values, small_batches, stored, utf8, with_
 
 END = 1
 #: Bytes of texts that are looked up together.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 6 << 20
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
