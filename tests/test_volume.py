@@ -5,8 +5,12 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from catalogue.queries import QUERIES
 from revtide import testbed as tb
+from revtide.operators import dedup
+from revtide.operators.dedup import keep_first, keep_first_unmoved
 from revtide.sources.landing import read_landing
 from revtide.sources.selection import children_among, children_of, children_without, orphan_keys
 
@@ -60,6 +64,44 @@ def test_copies_of_an_invoice_follow_each_other(spark, sample, tmp_path, broadca
         assert first.id == second.id and first.created < second.created
 
 
+@pytest.mark.parametrize("slabs", [dedup.BROADCAST_SLABS, 0])
+def test_first_rows_are_kept_where_they_lie(spark, tmp_path, monkeypatch, slabs):
+    monkeypatch.setattr(dedup, "BROADCAST_SLABS", slabs)
+    # Two files of lines in several slabs, one far away; ids come again within and across files, null among them.
+    lines = spark.range(0, 140_000, 1, 3).select(
+        F.when(F.col("id") % 1000 != 7, F.concat(F.lit("k"), (F.col("id") * 7919 % 50_021).cast("string"))).alias("key"),
+        F.struct(
+            (F.col("id") % 2).alias("file"), F.lit(3).alias("path_hash"),
+            (F.floor(F.col("id") / 2) + F.when(F.col("id") > 100_000, F.lit(1 << 33)).otherwise(F.lit(0))).alias("line"),
+        ).alias("_arrival"),
+        F.col("id").cast("string").alias("payload"),
+    )
+    lines.write.parquet(str(tmp_path / "lines"))
+    rows = spark.read.parquet(str(tmp_path / "lines"))
+    kept = keep_first_unmoved(rows, "key", "_arrival", str(tmp_path / "bits"))
+    wanted = keep_first(rows, "key", ["_arrival"])
+    assert kept.columns == rows.columns
+    assert kept.count() == wanted.count() and not kept.exceptAll(wanted).count()
+    # The rows themselves are not shuffled where their bits can be broadcast.
+    assert ("hashpartitioning" in kept._jdf.queryExecution().executedPlan().toString()) <= (not slabs)
+
+
+def test_a_load_shuffles_keys_and_not_rows(spark, sample, tmp_path, monkeypatch):
+    from revtide.plans import refresh
+
+    plans = {}
+
+    def watched(rows, warehouse, name, **layout):
+        plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        return write(rows, warehouse, name, **layout)
+
+    write = refresh.versions.write_version
+    monkeypatch.setattr(refresh.versions, "write_version", watched)
+    paths = tb.write_landing(spark, sample, str(tmp_path / "landing"))
+    refresh.full_refresh(spark, paths, str(tmp_path / "tables"), tb.AS_OF, tb.EXTRACTED_AT)
+    assert all("Exchange hashpartitioning" not in plans[name] for name in ("subscriptions", "invoices"))
+
+
 def test_orphans_are_what_children_of_leaves_out(spark, tmp_path):
     children = spark.createDataFrame(
         [("i1", "a"), ("i2", "x"), ("i3", None), ("i4", "a"), ("i4", "a"), ("i5", "b")], "id string, customer string"
