@@ -12,8 +12,10 @@ Equal shingle sets are one set from the start.  Sets that agree in a whole band
 of coordinates are candidates, and links are confirmed on the whole sets.
 Neighbours in a bucket are confirmed first, which joins groups of many copies at
 a few pairs a text; then every pair of a bucket that still lies in two different
-components is looked at.  Counts of the shingles by cell bound the overlap of
-such a pair from above, and only pairs within the bound have their texts moved.
+components is looked at, in the first bucket it shares.  Counts of the shingles by
+cell bound the overlap of such a pair from above.  A first pass finds the members
+that have a pair within the bound, the second gets their texts and confirms the
+pairs where they meet.  What leaves a task is a row a member, never a row a pair.
 """
 
 from __future__ import annotations
@@ -41,15 +43,15 @@ BINS = BAND_ROWS * BANDS
 #: follow, across what is connected by then.  That moves fewer texts and takes one
 #: more round of components.
 FIRST_BANDS = BANDS
-#: Members of a bucket that one task compares with each other.
+#: Members of a bucket that one task compares with each other, and their shingles.
 BLOCK_ROWS = 2048
+BLOCK_SHINGLES = 1 << 22
 #: Cells of the counts that bound an overlap.
 CELLS = 128
 #: Shingles that are sketched together.
 PART_SHINGLES = 1 << 17
-#: Rows of numbers in a batch, and pairs of a batch that leaves a task.
+#: Rows of numbers in a batch.
 NUMBER_ROWS = 10_000
-PAIRS = 1 << 16
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -136,6 +138,8 @@ def band_keys(sketch: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
 
 
 _LONGS = pa.list_(pa.int64())
+#: A member of a block of a bucket.
+_MEMBER = ["bucket", "block", "n", "key", "root", "own", "blocks"]
 
 
 def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,35 +249,66 @@ def _cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield with_columns(batch, ["key"], {"cells": pa.array(counts, pa.binary())})
 
 
-def _cross_batches(percent: int):
-    """All pairs of a block of a bucket that lie in two components and within the bound."""
+def _near_pairs(columns: list[np.ndarray], percent: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """Block by block, where it starts and ends, and for each row the earlier rows of
+    other components that share no earlier bucket with it and are within the bound."""
+    bucket, block, n, _, root, own, blocks, raw, bands = columns[:9]
+    counts = np.frombuffer(b"".join(raw), "<u2").reshape(-1, CELLS)
+    keys = np.stack(bands)
+    new = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
+    for start, end in zip([0, *new], [*new, len(bucket)], strict=True):
+        low, high = divmod(int(block[start]), int(blocks[start]))
+        for a in range(start + 1, end):
+            # Sizes ascend: smaller sets than this are too small.
+            first = start + int(np.searchsorted(n[start:a], -(-percent * n[a] // 100)))
+            other = high if own[a] == low else low
+            near = first + np.flatnonzero((root[first:a] != root[a]) & (own[first:a] == other))
+            if len(near):
+                near = near[keys[a][(keys[near] == keys[a]).argmax(axis=1)] == bucket[a]]
+            if len(near):
+                near = near[may_be_similar(int(n[a]), counts[a], n[near], counts[near], percent)]
+            if len(near):
+                yield start, end, a, near
+
+
+def _live_batches(percent: int):
+    """The members of a block that have a pair to confirm, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left: list[np.ndarray] = []
-        right: list[np.ndarray] = []
-        size = 0
         for columns, _ in _numbers(batches, 2):
-            bucket, block, n, key, root, own, blocks, raw = columns
-            counts = np.frombuffer(b"".join(raw), "<u2").reshape(-1, CELLS)
-            new = np.flatnonzero((bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1])) + 1
-            for start, end in zip([0, *new], [*new, len(bucket)], strict=True):
-                low, high = divmod(int(block[start]), int(blocks[start]))
-                for a in range(start + 1, end):
-                    # Sizes ascend: smaller sets than this are too small.
-                    first = start + int(np.searchsorted(n[start:a], -(-percent * n[a] // 100)))
-                    other = high if own[a] == low else low
-                    near = first + np.flatnonzero((root[first:a] != root[a]) & (own[first:a] == other))
-                    if len(near):
-                        near = near[may_be_similar(int(n[a]), counts[a], n[near], counts[near], percent)]
-                    if len(near):
-                        left.append(np.full(len(near), key[a]))
-                        right.append(key[near])
-                        size += len(near)
-                    if size >= PAIRS:
-                        yield _pair_batch(left, right)
-                        left, right, size = [], [], 0
-        if size:
-            yield _pair_batch(left, right)
+            live = np.zeros(len(columns[0]), bool)
+            for _, _, a, near in _near_pairs(columns, percent):
+                live[a] = live[near] = True
+            yield pa.RecordBatch.from_arrays([pa.array(c[live]) for c in columns[: len(_MEMBER)]], names=_MEMBER)
+
+    return run
+
+
+def _join_batches(percent: int):
+    """Links that join the components of a block, one less than these at most, confirmed on the whole sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns, _ in _numbers(batches, 2):
+            key, root, text = columns[3], columns[4], columns[9]
+            links: list[tuple[int, int]] = []
+            here, sets, joined = -1, [], {}
+
+            def top(node: int, joined=joined) -> int:
+                while node in joined:
+                    node = joined[node]
+                return node
+
+            for start, end, a, near in _near_pairs(columns, percent):
+                if start != here:
+                    here, sets = start, [shingle_set(t) for t in text[start:end]]
+                    joined.clear()
+                for b in near:
+                    one, two = top(int(root[a])), top(int(root[b]))
+                    if one != two and similar(sets[b - start], sets[a - start], percent):
+                        joined[max(one, two)] = min(one, two)
+                        links.append((int(key[a]), int(key[b])))
+            pairs = np.array(links, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], names=["a", "b"])
 
     return run
 
@@ -337,9 +372,12 @@ class _Verification:
         left = self.texts.select(F.col("key").alias("a"), F.col("text").alias("left"))
         right = self.texts.select(F.col("key").alias("b"), F.col("text").alias("right"))
         met = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        found = stored(met.mapInArrow(_verify_batches(self.percent), "a long, b long"), "links")
         self.tried = pairs if self.tried is None else self.tried.union(pairs)
-        self.links = found if self.links is None else self.links.union(found)
+        self.add(stored(met.mapInArrow(_verify_batches(self.percent), "a long, b long"), "links"))
+
+    def add(self, links: DataFrame) -> None:
+        """Adds links that have been confirmed."""
+        self.links = links if self.links is None else self.links.union(links)
 
     def rooted(self, rows: DataFrame) -> DataFrame:
         """The rows with the component their key lies in by now."""
@@ -347,28 +385,37 @@ class _Verification:
         return rows.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
 
 
-def _across(rooted: DataFrame, texts: DataFrame, percent: int, block_rows: int) -> DataFrame:
-    """Pairs of all buckets that lie in different components and within the bound."""
+def _across(rooted: DataFrame, sets: DataFrame, texts: DataFrame, percent: int, block_rows: int) -> DataFrame:
+    """Links that join what is similar in a bucket and lies in different components, ``a, b``."""
+    spark = rooted.sparkSession
     mixed = rooted.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("members"), F.min("root").alias("least"), F.max("root").alias("most")
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"),
+        F.min("root").alias("least"), F.max("root").alias("most"),
     ).filter("least < most")
-    open_rows = stored(rooted.join(mixed.select("bucket", "members"), "bucket"), "open")
-    small_batches(rooted.sparkSession)
+    open_rows = stored(rooted.join(mixed.select("bucket", "members", "shingles"), "bucket"), "open")
+    small_batches(spark)
     wanted = texts.join(open_rows.select("key").distinct(), "key", "left_semi").select("key", "text")
-    counts = stored(wanted.mapInArrow(_cell_batches, "key long, cells binary"), "cells")
+    counts = wanted.mapInArrow(_cell_batches, "key long, cells binary")
+    signs = stored(counts.join(sets.select("key", "bands"), "key"), "cells")
     # A bucket above the block size is a group for every pair of its blocks.
-    blocks = F.ceil(F.col("members") / block_rows).cast("long")
+    blocks = F.ceil(F.greatest(F.col("members") / block_rows, F.col("shingles") / BLOCK_SHINGLES)).cast("long")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).alias("own")
     spread = open_rows.withColumn("blocks", blocks).select("*", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     )
     block: Column = F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")
-    grouped = spread.withColumn("block", block).join(counts, "key").select(
-        "bucket", "block", "n", "key", "root", "own", "blocks", "cells"
-    )
-    rooted.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(NUMBER_ROWS))
-    together = grouped.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "n", "key")
-    return together.mapInArrow(_cross_batches(percent), "a long, b long")
+
+    def together(members: DataFrame, *more: str) -> DataFrame:
+        grouped = members.select(*_MEMBER, "cells", "bands", *more)
+        return grouped.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "n", "key")
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(NUMBER_ROWS))
+    member = ", ".join(f"{name} long" for name in _MEMBER)
+    live = together(spread.withColumn("block", block).join(signs, "key")).mapInArrow(_live_batches(percent), member)
+    live = stored(live, "live")
+    small_batches(spark)
+    whole = together(live.join(signs, "key").join(texts.select("key", "text"), "key"), "text")
+    return stored(whole.mapInArrow(_join_batches(percent), "a long, b long"), "links")
 
 
 def near_duplicates(
@@ -427,7 +474,7 @@ def near_duplicates(
         ordered = _sorted_by(chosen.select("bucket", "n", "key", "root"), "bucket", "n", "key")
         found.confirm(ordered.mapInArrow(_neighbour_batches(percent), "a long, b long"))
     rooted = stored(found.rooted(buckets).select("bucket", "n", "key", "root"), "rooted")
-    found.confirm(_across(rooted, texts, percent, block_rows))
+    found.add(_across(rooted, sets, texts, percent, block_rows))
 
     ids = found.rooted(sets.select("h1", "h2", "n", "key", "least"))
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))

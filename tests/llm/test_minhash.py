@@ -169,3 +169,24 @@ def test_rows_repeated_many_times(spark):
     found = minhash.near_duplicates(documents(spark, rows)).collect()
     assert len(found) == len(rows)
     assert {r.component_id for r in found if r.doc_id in (3, 7)} == {3}
+
+
+def test_rows_grow_with_members_and_not_with_pairs(spark, monkeypatch):
+    # All texts share 174 of their 200 shingles: below the limit, but mostly within the bound.
+    drawn = random.Random(5)
+    base = " ".join(f"w{i}" for i in range(177))
+    rows = [(d, base + "".join(f" x{drawn.randrange(10**9)}" for _ in range(26))) for d in range(400)]
+    rows += [(d + 1000, text.replace(" w5 ", " w5x ")) for d, text in rows[:5]]
+    sizes, stored = {}, minhash.stored
+
+    def counted(frame, label, **options):
+        out = stored(frame, label, **options)
+        sizes[label] = sizes.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, rows)).collect()}
+    assert found == {d: d % 1000 for d, _ in rows}
+    members = len(rows) * minhash.BANDS
+    assert sizes["buckets"] <= members and sizes["pairs"] <= members
+    assert sizes["links"] < len(rows) and sizes.get("live", 0) <= sizes["buckets"]
