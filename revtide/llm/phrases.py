@@ -9,6 +9,11 @@ kept to itself, drops most that cannot reach the support.  The rest goes into a
 filter of fixed size, and a second pass counts all phrases that pass it in all
 documents.  Counts of at least the support are then whole and exact.
 
+In both passes a task adds up its shards before anything leaves it, and there are
+as many tasks as the cluster keeps busy, not as many as the corpus has shards.  So
+a phrase leaves in a few rows however large the corpus is.  Of the first pass a
+task reports what reaches the task's own share of the support.
+
 Where shards are so many that a lowered support is one, every shard reports all
 its phrases with their counts, and the bound is the count itself.
 """
@@ -29,8 +34,14 @@ from revtide.llm.common import column_values, small_batches, stored, utf8
 SUPPORT = 100
 MOST_WORDS = 5
 TOP = 2000
-#: Words of a shard: a task mines what it has once twice as many are there, or no more come.
-SHARD_WORDS = 1 << 22
+#: Words of a shard, at least and at most: a task mines what it has once twice as many
+#: are there, or no more come.  In between a shard is a fiftieth of the corpus.
+SHARD_WORDS = (1 << 21, 1 << 22)
+SHARDS = 50
+#: Phrases that a task adds up over its shards; with more it hands them on and begins anew.
+HELD_PHRASES = 1 << 21
+#: Tasks for each core of the cluster.
+TASKS_PER_CORE = 2
 #: Bits of the filter of candidates, a power of two.
 FILTER_BITS = 1 << 25
 UNKNOWN = "und"
@@ -140,25 +151,63 @@ def _by_group(held: list[tuple[tuple, bytes, int]]) -> dict[tuple, list]:
     return out
 
 
-def _mine_batches(support: int, most: int, shard_words: int):
-    """Frequent phrases of each shard as ``lang, hash, n, silent``; ``silent`` is
-    what a phrase may have in the shard without being reported.  A row without a
-    hash stands for the shard itself."""
+class _Run:
+    """What the shards of a run have reported of a language, phrases by their hashes."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        self.counts = self.reported = np.zeros(0, np.int64)
+        self.silent = self.words = 0
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray, silent: int, words: int) -> None:
+        """A shard of so many words; what it does not report occurs ``silent`` times there at most."""
+        reported = np.concatenate([self.reported, np.full(len(hashes), silent)])
+        counts = np.concatenate([self.counts, counts])
+        self.hashes, place = np.unique(np.concatenate([self.hashes, hashes]), return_inverse=True)
+        self.counts, self.reported = (
+            np.bincount(place, x, len(self.hashes)).astype(np.int64) for x in (counts, reported)
+        )
+        self.silent += silent
+        self.words += words
+
+    def report(self, lang: str, of: int, support: int) -> Iterator[pa.RecordBatch]:
+        """The phrases that may have the run's part of the support, at the most they may have.
+
+        What the shards have kept to themselves adds up to less than that part.
+        """
+        least = local_support(self.words, of, support)
+        most = self.counts + self.silent - self.reported
+        stay = most >= least
+        yield _mined(lang, pa.array(self.hashes[stay].view(np.int64)), pa.array(most[stay]), least - 1)
+        yield _mined(lang, pa.nulls(1, pa.int64()), pa.array([0], pa.int64()), least - 1)
+
+
+def _mine_batches(support: int, most: int, shard_words: int, held: int = HELD_PHRASES):
+    """Frequent phrases of each task, or run of its shards, as ``lang, hash, n, silent``;
+    ``n`` is the most that a phrase may have in the run, ``silent`` what one may have
+    without being reported.  A row without a hash stands for the run itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: dict[tuple[str, int], _Run] = {}
         for shard in _shards(batches, ["lang", "of"], shard_words):
             for (lang, of), texts in shard.items():
                 ids, words = tokens(texts)
-                least = local_support(int((ids >= 0).sum()), of, support)
+                size_of = int((ids >= 0).sum())
+                least = local_support(size_of, of, support)
                 own = word_hashes(lang, words)
-                found, counts = [], []
+                found, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for size, at, n in levels(ids, lambda at, n, size, least=least: n >= least, most):
                     found.append(phrase_hashes(ids, own, at, size))
                     counts.append(n)
-                hashes, place = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_inverse=True)
-                sums = np.bincount(place, np.concatenate(counts or [np.zeros(0)]), len(hashes)).astype(np.int64)
-                yield _mined(lang, pa.array(hashes.view(np.int64)), pa.array(sums), least - 1)
-                yield _mined(lang, pa.nulls(1, pa.int64()), pa.array([0], pa.int64()), least - 1)
+                hashes, place = np.unique(np.concatenate(found), return_inverse=True)
+                sums = np.bincount(place, np.concatenate(counts), len(hashes)).astype(np.int64)
+                runs.setdefault((lang, of), _Run()).add(hashes, sums, least - 1, size_of)
+            if sum(len(r.hashes) for r in runs.values()) > held:
+                for (lang, of), own_run in runs.items():
+                    yield from own_run.report(lang, of, support)
+                runs = {}
+        for (lang, of), own_run in runs.items():
+            yield from own_run.report(lang, of, support)
 
     return run
 
@@ -207,11 +256,22 @@ def _passing(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return good
 
 
-def _count_batches(shared, most: int, shard_words: int):
-    """``lang, phrase, n``: the phrases of each shard that pass the filter, and how often they occur in it."""
+def _summed(parts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """``lang, phrase, n``, every phrase once."""
+    if len(parts) < 2:
+        return parts
+    sums = pa.Table.from_batches(parts).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+    return sums.select(["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "n"]).combine_chunks().to_batches()
+
+
+def _count_batches(shared, most: int, shard_words: int, held: int = HELD_PHRASES):
+    """``lang, phrase, n``: the phrases of a task that pass the filter, and how often they
+    occur in it.  A phrase comes again only where a task has more than ``held`` phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
+        parts: list[pa.RecordBatch] = []
+        summed = waiting = 0
         for shard in _shards(batches, ["lang"], shard_words):
             for (lang,), texts in shard.items():
                 ids, words = tokens(texts)
@@ -221,12 +281,22 @@ def _count_batches(shared, most: int, shard_words: int):
                     return _passing(bits, phrase_hashes(ids, own, at, size))
 
                 for size, at, n in levels(ids, chosen, most):
-                    parts = [words.take(pa.array(ids[at + k])) for k in range(size)]
-                    phrase = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(at), pa.string()), phrase, pa.array(n.astype(np.int64))],
-                        names=["lang", "phrase", "n"],
+                    words_at = [words.take(pa.array(ids[at + k])) for k in range(size)]
+                    phrase = pc.binary_join_element_wise(*words_at, " ") if size > 1 else words_at[0]
+                    parts.append(
+                        pa.RecordBatch.from_arrays(
+                            [pa.array([lang] * len(at), pa.string()), phrase, pa.array(n.astype(np.int64))],
+                            names=["lang", "phrase", "n"],
+                        )
                     )
+                    waiting += len(at)
+            if waiting > min(max(summed, held // 4), held):
+                parts = _summed(parts)
+                summed, waiting = sum(p.num_rows for p in parts), 0
+                if summed > held:
+                    yield from parts
+                    parts, summed = [], 0
+        yield from _summed(parts)
 
     return run
 
@@ -241,28 +311,40 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def phrase_counts(
-    documents: DataFrame, support: int = SUPPORT, most_words: int = MOST_WORDS, shard_words: int = SHARD_WORDS
+    documents: DataFrame,
+    support: int = SUPPORT,
+    most_words: int = MOST_WORDS,
+    shard_words: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``lang, phrase, f`` of every phrase of 1 to ``most_words`` words with at
     least ``support`` occurrences in its language, and ``n``, the language's words.
 
     Occurrences overlap and lie within pieces.  A null lang is ``und``; null and
-    empty texts have no words.  Repeated rows count again.
+    empty texts have no words.  Repeated rows count again.  ``tasks`` is how many
+    tasks a pass has at most, by default two for each core that the session knows
+    of; name it where executors come and go.
     """
     spark = documents.sparkSession
+    tasks = tasks or TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     small_batches(spark)
     rows = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), utf8("text").alias("text"))
     sizes = rows.mapInArrow(_count_words, "lang string, of long").groupBy("lang").agg(F.sum("of").alias("of"))
     sizes = stored(sizes, "words")
+    if shard_words is None:
+        words = sizes.agg(F.sum("of")).first()[0] or 0
+        shard_words = min(max(words // SHARDS, SHARD_WORDS[0]), SHARD_WORDS[1])
     mined = stored(
-        rows.join(sizes, "lang").select("lang", "of", "text").mapInArrow(
+        rows.join(sizes, "lang").select("lang", "of", "text").coalesce(tasks).mapInArrow(
             _mine_batches(support, most_words, shard_words), "lang string, hash long, n long, silent long"
         ),
         "mined",
     )
     candidates = candidate_hashes(mined, support)
     shared = spark.sparkContext.broadcast(candidate_filter(candidates))  # FILTER_BITS at any size
-    counted = rows.mapInArrow(_count_batches(shared, most_words, shard_words), "lang string, phrase string, n long")
+    counted = rows.coalesce(tasks).mapInArrow(
+        _count_batches(shared, most_words, shard_words), "lang string, phrase string, n long"
+    )
     frequent = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
     return stored(frequent.join(sizes.withColumnRenamed("of", "n"), "lang"), "phrases")
 

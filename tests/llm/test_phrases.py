@@ -3,6 +3,8 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward, documents
 
@@ -84,6 +86,58 @@ def test_candidates_lose_nothing_and_prune(spark):
     assert phrases.local_support(10, 1000, 100) == 1 and phrases.local_support(11, 1000, 100) == 2
 
 
+class Shared:
+    value = np.full(phrases.FILTER_BITS // 64, -1, np.int64)  # everything passes
+
+
+def batches(rows, **more):
+    texts = [r for r in rows if r[2]]
+    for k in range(0, len(texts), 16):
+        part = texts[k : k + 16]
+        columns = {"lang": [r[2] for r in part], "text": [r[1].encode() for r in part]}
+        columns |= {name: [of[r[2]] for r in part] for name, of in more.items()}
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def test_a_task_adds_up_its_shards():
+    """Each phrase leaves a task once, however many shards the task has."""
+    rows = [r for r in corpus(200) if r[2]]
+    f, n = slow_counts(rows)
+    out = [r for b in phrases._count_batches(Shared, 5, 40)(batches(rows)) for r in b.to_pylist()]
+    assert {(r["lang"], r["phrase"]): r["n"] for r in out} == f and len(out) == len(f)
+    out = [r for b in phrases._count_batches(Shared, 5, 40, 300)(batches(rows)) for r in b.to_pylist()]
+    again = Counter()
+    for r in out:
+        again[r["lang"], r["phrase"]] += r["n"]
+    assert again == f and len(out) > len(f)  # handed on in between
+
+    for held in (1 << 20, 200):
+        mined = [r for b in phrases._mine_batches(60, 5, 40, held)(batches(rows, of=n)) for r in b.to_pylist()]
+        known = {(r["lang"], r["hash"]) for r in mined if r["hash"] is not None}
+        if held > 200:
+            assert len(known) == sum(r["hash"] is not None for r in mined)
+            # The task has the whole corpus, so its share is the whole support.
+            assert {r["silent"] for r in mined} == {59} and all(r["n"] >= 60 for r in mined if r["hash"] is not None)
+        assert len(known) >= sum(a >= 60 for a in f.values()) > 10
+
+
+def test_tasks_do_not_follow_partitions(spark, monkeypatch):
+    """A pass has the tasks it is given, and loses no phrase by it."""
+    rows = corpus(300)
+    f, n = slow_counts(rows)
+    sizes = {}
+
+    def stored(frame, label, keep=phrases.stored):
+        if label == "mined":
+            sizes[label] = frame.rdd.getNumPartitions()
+        return keep(frame, label)
+
+    monkeypatch.setattr(phrases, "stored", stored)
+    got = phrases.phrase_counts(documents(spark, rows).repartition(24), support=30, shard_words=100, tasks=3)
+    assert {(r.lang, r.phrase): (r.f, r.n) for r in got.collect()} == {p: (a, n[p[0]]) for p, a in f.items() if a >= 30}
+    assert sizes["mined"] <= 3
+
+
 def test_long_products(spark):
     big = 10**12
     counts = spark.createDataFrame(
