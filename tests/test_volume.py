@@ -86,6 +86,17 @@ def test_first_rows_are_kept_where_they_lie(spark, tmp_path, monkeypatch, slabs)
     assert ("hashpartitioning" in kept._jdf.queryExecution().executedPlan().toString()) <= (not slabs)
 
 
+def test_first_rows_of_several_keys_that_are_not_known(spark, tmp_path):
+    lines = spark.range(0, 4000, 1, 3).selectExpr(
+        "id % 700 AS a", "IF(id % 11 = 0, NULL, id % 3) AS b", "named_struct('load', id % 2, 'line', id) AS turn", "id"
+    )
+    lines.write.parquet(str(tmp_path / "lines"))
+    rows, known = spark.read.parquet(str(tmp_path / "lines")), spark.range(0, 100).selectExpr("id AS a", "1L AS b")
+    kept = keep_first_unmoved(rows, ("a", "b"), "turn", str(tmp_path / "bits"), known)
+    wanted = keep_first(rows, ("a", "b"), ["turn"]).filter("NOT (a < 100 AND b <=> 1)")
+    assert kept.count() == wanted.count() > 1000 and not kept.exceptAll(wanted).count()
+
+
 def test_a_load_shuffles_keys_and_not_rows(spark, sample, tmp_path, monkeypatch):
     from revtide.plans import refresh
 
