@@ -97,6 +97,23 @@ def test_first_rows_of_several_keys_that_are_not_known(spark, tmp_path):
     assert kept.count() == wanted.count() > 1000 and not kept.exceptAll(wanted).count()
 
 
+def test_a_broken_delivery_takes_the_place_of_the_first(spark, sample, monkeypatch):
+    """Files that a broken delivery replaces are gone before it is loaded."""
+    from revtide.plans import refresh
+
+    shared, seen = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")), []
+    load = refresh.full_refresh
+
+    def watched(spark, sources, *args, **options):
+        seen.append({p.parent.name for p in shared.glob("broken-*/landing/*/*.gz")})
+        return load(spark, sources, *args, **options)
+
+    monkeypatch.setattr(refresh, "full_refresh", watched)
+    rows = QUERIES["failed_refresh_keeps_all_tables"](spark, sample).collect()
+    assert {r.outcome for r in rows} == {"failed"} and len(rows) == 7
+    assert seen[0] - seen[1] == {"invoices", "customers"}
+
+
 def test_a_load_shuffles_keys_and_not_rows(spark, sample, tmp_path, monkeypatch):
     from revtide.plans import refresh
 
