@@ -179,3 +179,10 @@ def test_required_columns(spark):
     assert conform(rows.limit(1), schemas.PRODUCTS, "products").count() == 1
     with pytest.raises(Exception, match="products.product_id is required but null"):
         conform(rows, schemas.PRODUCTS, "products").collect()
+
+
+def test_the_interval_of_a_subscription_is_read_once(spark, tmp_path):
+    (tmp_path / "s.json").write_text(json.dumps(subscription(**items(item()))))
+    flat = FLATTEN["subscriptions"](read_landing(spark, "subscriptions", str(tmp_path / "s.json")), STAMP)
+    plan = flat._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("jsonObjectKeys(") == 1 and plan.count("get_json_object(") == 1
