@@ -1,6 +1,7 @@
 """What a refresh shuffles and writes."""
 
 import datetime as dt
+import re
 from pathlib import Path
 
 import pytest
@@ -114,6 +115,63 @@ def test_a_broken_delivery_takes_the_place_of_the_first(spark, sample, monkeypat
     assert seen[0] - seen[1] == {"invoices", "customers"}
 
 
+def test_texts_of_a_part_are_made_once(spark, sample, tmp_path, monkeypatch):
+    """A condition on the text does not make it again, and only items of delivered orders are looked at."""
+    from pyspark.sql import DataFrameWriter
+
+    frames, text = {}, DataFrameWriter.text
+    monkeypatch.setattr(
+        DataFrameWriter, "text", lambda self, path, *a, **k: (frames.update({Path(path).name: self._df}), text(self, path, *a, **k))
+    )
+    key = F.regexp_extract("value", '"id":"[a-z]+_([0-9]+)', 1).cast("bigint")
+
+    def part(name, lines):
+        return lines.filter(key % 3 != 0) if name in ("subscriptions", "invoices") else None
+
+    paths = tb.write_landing(spark, sample, str(tmp_path / "part"), part, "key % 3 <> 0")
+    for entity in ("subscriptions", "invoices"):
+        plan = frames[entity]._jdf.queryExecution().optimizedPlan()
+        made = re.findall(r"StructsToJson|to_json\(", plan.toString())
+        assert len(made) == 1, plan.toString()
+        whole = tb.LINES[entity](spark, sample).select("value").filter(key % 3 != 0)
+        assert sorted(spark.read.text(paths[entity]).collect()) == sorted(whole.collect())
+    assert tb.first_items(spark, sample, "key % 3 <> 0").count() == 400 - 133
+
+
+def test_buckets_are_dealt_out_in_one_pass(spark, tmp_path, monkeypatch):
+    """A range would make the rows once more, for its sample."""
+    from revtide import schemas
+    from revtide.sinks import versions
+
+    stamp = dt.datetime(2021, 1, 1)
+    monkeypatch.setitem(schemas.UNIQUE_KEYS, "products", "product_id")
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(part):
+        for row in part:
+            made.add(1)
+            yield row
+
+    rows = spark.createDataFrame([(f"p{n}", "n", None, True, stamp, None, stamp) for n in range(50)], schemas.PRODUCTS)
+    watched = spark.createDataFrame(rows.rdd.mapPartitions(seen), schemas.PRODUCTS)
+    stored = versions.write_version(watched, str(tmp_path), "products", buckets=4)
+    assert made.value == 50 and set(stored.buckets) == {0, 1, 2, 3}
+    more = spark.createDataFrame(rows.rdd.mapPartitions(seen), schemas.PRODUCTS).withColumn("product_id", F.concat(F.lit("q"), "product_id"))
+    both = versions.write_version(more, str(tmp_path), "products", buckets=4, settled=versions.read_stored(spark, str(tmp_path), "products", stored))
+    assert made.value == 100 and versions.read_stored(spark, str(tmp_path), "products", both).count() == 100
+    for bucket in range(4):
+        found = versions.read_stored(spark, str(tmp_path), "products", both, [bucket])
+        assert found.filter(versions.bucket_of("product_id", 4) != bucket).isEmpty()
+
+
+def test_broken_deliveries_and_landing_files_are_written_at_the_fastest_level(spark, tmp_path):
+    lines = spark.range(0, 50_000, 1, 1).selectExpr("to_json(named_struct('id', id, 'mail', concat('billing@', id % 7919, '.com'))) AS value")
+    lines.write.option("compression", "gzip").text(str(tmp_path / "default"))
+    tb.write_lines(lines, str(tmp_path / "fast"))
+    size = lambda name: sum(f.stat().st_size for f in (tmp_path / name).glob("part-*.gz"))
+    assert size("default") < size("fast") and sorted(spark.read.text(str(tmp_path / "fast")).collect()) == sorted(lines.collect())
+
+
 def test_a_load_shuffles_keys_and_not_rows(spark, sample, tmp_path, monkeypatch):
     from revtide.plans import refresh
 
